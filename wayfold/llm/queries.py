@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfold.llm import substring
+from wayfold.llm import minhash, substring
 from wayfold.llm.common import documents
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), shingle=4, threshold=0.8)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(documents(spark, sf_dir), n=13)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
