@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfold.llm import minhash, substring
+from wayfold.llm import decontaminate, minhash, substring
 from wayfold.llm.common import documents
 
 
@@ -14,12 +14,17 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), shingle=4, threshold=0.8)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=13)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(documents(spark, sf_dir), n=13)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op6_decontamination": op6_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
