@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfold.llm import decontaminate, minhash, substring
+from wayfold.llm import decontaminate, langid, minhash, substring
 from wayfold.llm.common import documents
 
 
@@ -18,6 +18,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=13)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(documents(spark, sf_dir), n=13)
 
@@ -25,6 +29,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op6_decontamination": op6_decontamination,
+    "op7_language_id": op7_language_id,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
