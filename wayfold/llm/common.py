@@ -62,3 +62,15 @@ def block_of(column: Column | str, blocks: int) -> Column:
 def np_block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
     x = ids.astype(np.int64).view(np.uint64)
     return ((x ^ (x >> np.uint64(7)) ^ (x >> np.uint64(17))) & np.uint64(blocks - 1)).astype(np.int64)
+
+
+def sample_texts(docs: DataFrame, n: int) -> list[str]:
+    """The texts of the n documents whose doc_id has the smallest xxhash64: a bounded sample for fitting, found on narrow columns."""
+    known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"))
+    ids = [(r.doc_id,) for r in known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).collect()]
+    if not ids:
+        return []
+    chosen = docs.sparkSession.createDataFrame(ids, "doc_id long").distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
+    found = texts.join(F.broadcast(chosen), "doc_id", "left_semi").collect()
+    return [r.text for r in sorted(found, key=lambda r: (r.doc_id, r.text))][:n]

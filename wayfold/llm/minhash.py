@@ -136,21 +136,23 @@ def estimate(x: Column, y: Column, signature: int) -> Column:
 
 
 def _linked(pairs: DataFrame, bits: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+    """The pairs (a, b) whose sets are similar enough. Each step is cut, which keeps the plans small."""
     side = lambda d, at_: d.select(F.col("doc_id").alias(at_), F.col(d.columns[1]).alias(f"{d.columns[1]}_{at_}"))
     near = pairs.join(side(bits, "b"), "b").join(side(bits, "a"), "a")
-    near = near.where(estimate(F.col("bits_a"), F.col("bits_b"), plan.signature) >= plan.least_estimate()).select("a", "b").distinct()
+    near = cut(near.where(estimate(F.col("bits_a"), F.col("bits_b"), plan.signature) >= plan.least_estimate()).select("a", "b"))
     both = near.join(side(sets, "b"), "b").join(side(sets, "a"), "a")
     common = F.size(F.array_intersect("shingles_a", "shingles_b")).cast("long")
     whole = F.size("shingles_a") + F.size("shingles_b") - common
-    return both.where(100 * common >= plan.percent * whole).select("a", "b")
+    return cut(both.where(100 * common >= plan.percent * whole).select("a", "b"))
 
 
 def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after the links: components of the graph whose nodes are the labels so far."""
     a = labels.select(F.col("rep").alias("a"), F.col("label").alias("la"))
     b = labels.select(F.col("rep").alias("b"), F.col("label").alias("lb"))
-    edges = links.join(a, "a").join(b, "b").where("la <> lb").select("la", "lb").distinct()
+    edges = cut(links.join(a, "a").join(b, "b").where("la <> lb").select("la", "lb").distinct())
+    if edges.isEmpty():
+        return labels
     merged = components(edges, "la", "lb").withColumnRenamed("label", "further")
     return cut(labels.join(merged, labels.label == merged.node, "left").select("rep", F.coalesce("further", "label").alias("label")))
 
@@ -163,37 +165,37 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, *
     classes = stored(usable.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("bits").alias("bits")), "classes")
     spread = classes.select("rep", F.explode("bands").alias("band"))
     order = F.struct(F.xxhash64("rep").alias("h"), F.col("rep"))
-    roots = spread.groupBy("band").agg(F.count("*").alias("n"), F.min(order).alias("root")).where("n > 1")
-    buckets = stored(spread.join(roots, "band").select("band", "rep", F.xxhash64("rep").alias("h"), F.col("root.rep").alias("root"), F.col("root.h").alias("root_h")), "buckets")
+    roots = spread.groupBy("band").agg(F.count("*").alias("size"), F.min(order).alias("root")).where("size > 1")
+    buckets = stored(spread.join(roots, "band").select("band", "rep", "size", F.xxhash64("rep").alias("h"), F.col("root.rep").alias("root"), F.col("root.h").alias("done")), "buckets")
     reps = cut(buckets.groupBy("rep").count().select("rep"))
     labels = reps.select("rep", F.col("rep").alias("label"))
     bits = classes.join(reps, "rep", "left_semi").select(F.col("rep").alias("doc_id"), "bits")
     mine = _texts(docs).join(reps.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
     sets = stored(shingle_sets(mine, plan.shingle).dropDuplicates(["doc_id"]), "sets")
 
-    first = buckets.where("rep <> root").select(F.col("root").alias("a"), F.col("rep").alias("b")).distinct()
+    first = cut(buckets.where("rep <> root").select(F.col("root").alias("a"), F.col("rep").alias("b")).distinct())
     labels = _relabel(labels, _linked(first, bits, sets, plan))
-    led = buckets.groupBy("band").agg(F.min("root_h").alias("done"))
-    members = buckets.groupBy().count().first()[0]
+    open_ = buckets.where("size > 2")
     while True:
-        named = buckets.join(labels, "rep").join(labels.select(F.col("rep").alias("root"), F.col("label").alias("main")), "root").join(led, "band")
-        named = named.withColumn("waits", (F.col("label") != F.col("main")) & (F.col("h") > F.col("done")))
-        state = named.groupBy("band").agg(F.count_if("waits").alias("waiting"), F.count("*").alias("size"), F.min(F.when(F.col("waits"), F.struct("h", "rep", "label"))).alias("next")).where("waiting > 0 AND size > 2")
-        state = cut(state)
-        todo = state.agg(F.sum(F.col("waiting").cast("double") * F.col("size"))).first()[0] or 0
+        named = cut(open_.join(labels, "rep"))
+        mains = named.groupBy("band").agg(F.max(F.when(F.col("rep") == F.col("root"), F.col("label"))).alias("main"), F.min("label").alias("low"), F.max("label").alias("high"))
+        open_ = named.join(mains.where("low <> high"), "band").withColumn("waits", (F.col("label") != F.col("main")) & (F.col("h") > F.col("done")))
+        open_ = cut(open_.select("band", "rep", "size", "h", "root", "done", "label", "waits"))
+        todo = open_.where("waits").agg(F.sum(F.col("size").cast("double"))).first()[0] or 0
         if not todo:
             break
-        at_once = todo <= 4 * members + 100_000
-        if at_once:
-            leaders = named.where("waits").select("band", F.col("rep").alias("a"), F.col("h").alias("lead_h"), F.col("label").alias("lead_label"))
-        else:
-            leaders = state.select("band", F.col("next.rep").alias("a"), F.col("next.h").alias("lead_h"), F.col("next.label").alias("lead_label"))
-        others = named.where("rep <> root").select("band", F.col("rep").alias("b"), "label", "h", "waits")
-        met = others.join(leaders, "band").where("label <> lead_label AND (h > lead_h OR NOT waits)").select("a", "b").distinct()
+        leads = open_.where("waits")
+        at_once = todo <= 4 * buckets.count() + 100_000
+        if not at_once:
+            leads = leads.groupBy("band").agg(F.min(F.struct("h", "rep", "label")).alias("next")).select("band", "next.h", "next.rep", "next.label")
+        leads = leads.select("band", F.col("rep").alias("a"), F.col("h").alias("lead_h"), F.col("label").alias("lead_label"))
+        others = open_.where("rep <> root").select("band", F.col("rep").alias("b"), "label", "h", "waits")
+        met = cut(others.join(leads, "band").where("label <> lead_label AND (h > lead_h OR NOT waits)").select("a", "b").distinct())
         labels = _relabel(labels, _linked(met, bits, sets, plan))
         if at_once:
             break
-        led = cut(led.join(state.select("band", F.col("next.h").alias("later")), "band", "left").select("band", F.coalesce("later", "done").alias("done")))
+        later = open_.where("waits").groupBy("band").agg(F.min("h").alias("later"))
+        open_ = cut(open_.join(later, "band").select("band", "rep", "size", "h", "root", F.col("later").alias("done")))
 
     named = classes.select("set_a", "set_b", "rep").join(labels, "rep", "left").select("set_a", "set_b", F.coalesce("label", "rep").alias("component"))
     out = sigs.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")

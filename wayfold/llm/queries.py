@@ -6,14 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfold.llm import decontaminate, langid, minhash, substring, toxicity
+from wayfold.llm import decontaminate, langid, minhash, packing, pii, secrets, substring, toxicity
 from wayfold.llm.common import documents
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii(documents(spark, sf_dir))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), shingle=4, threshold=0.8)
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets(documents(spark, sf_dir))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=13)
 
@@ -31,7 +43,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pii": op2_pii,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_secret_scan": op4_secret_scan,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
     "op9_substring_dedup": op9_substring_dedup,
