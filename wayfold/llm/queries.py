@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfold.llm import decontaminate, langid, minhash, packing, pii, secrets, substring, toxicity
+from wayfold.llm import decontaminate, langid, minhash, packing, pii, secrets, sharding, substring, topk, toxicity
 from wayfold.llm.common import documents
 
 
+def op1_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=20, every=20)
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii(documents(spark, sf_dir))
 
@@ -34,6 +38,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op8_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir), shards=8)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(documents(spark, sf_dir), n=13)
 
@@ -43,12 +51,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pivot_top_k": op1_pivot_top_k,
     "op2_pii": op2_pii,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
+    "op8_balanced_sharding": op8_balanced_sharding,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
 }
