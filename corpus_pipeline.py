@@ -1,3 +1,60 @@
-STAGES = []
+"""A corpus pipeline over `documents`: reject toxic texts, keep one document of each near-duplicate group, drop benchmark contamination, redact
+secrets, and pack what is left. Each stage works on all that the one before kept; results between stages are Parquet in the shared folder."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wayfold.llm import decontaminate, minhash, packing, secrets, toxicity
+from wayfold.llm.common import documents, stored
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The documents whose doc_id is not among `dropped`; a null doc_id stays."""
+    return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score under 0.5."""
+    return toxicity.keep_clean(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group (five-word shingles, similarity 0.8)."""
+    return without(docs, minhash.near_duplicates(docs, shingle=5, threshold=0.8).where("NOT kept"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents less than a twentieth of whose words lie in a 13-word window of a benchmark item."""
+    found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=13)
+    return without(docs, found.where("contaminated"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets replaced by a mark and n_chars counted anew."""
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each packed piece of a document."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("secret_scan", redact_secrets),
+    ("packing", pack_documents),
+]
+
+#: Fitted scores, automata and best-fit packing have no SQL form; the tests compare the stages with brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir): raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

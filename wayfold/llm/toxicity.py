@@ -254,22 +254,35 @@ def learn(texts: list[tuple[str, int]]) -> Model | None:
     return Model(machine, *regress(rows, np.array([label for _, label in texts], float)))
 
 
+def _scores(chunk: at.Chunk, model: Model | None) -> np.ndarray:
+    n = chunk.rows.num_rows
+    if model is None:
+        return np.zeros(n)
+    texts = [chunk.text(i).decode(errors="replace").lower() for i in range(n)]
+    x = features(model.automaton, code_points("".join(texts)), np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64))
+    return 1 / (1 + np.exp(-np.clip((x / model.scale) @ model.weights + model.bias, -30, 30)))
+
+
 def score_texts(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, score."""
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in at.chunks(batches, limit=1 << 20):
-            n = chunk.rows.num_rows
-            score = np.zeros(n)
-            if model is not None:
-                texts = [chunk.text(i).decode(errors="replace").lower() for i in range(n)]
-                x = features(model.automaton, code_points("".join(texts)), np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64))
-                score = 1 / (1 + np.exp(-np.clip((x / model.scale) @ model.weights + model.bias, -30, 30)))
-            yield pa.RecordBatch.from_arrays([chunk.rows.column(0), pa.array(score)], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([chunk.rows.column(0), pa.array(_scores(chunk, model))], names=["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(make, "doc_id long, score double")
 
 
+def keep_clean(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
+    """The documents that score under `least`, all columns unchanged."""
+
+    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in at.chunks(batches, limit=1 << 20):
+            yield chunk.rows.filter(pa.array(_scores(chunk, model) < least))
+
+    return docs.mapInArrow(make, docs.schema)
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, divisor: int = 5, remainder: int = 0) -> Model | None:
     """Learns from at most `sample` labelled documents outside the held-out part."""
     usable = labels.where(~held_out(divisor, remainder)).where("doc_id IS NOT NULL AND toxic IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
