@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from wayfold.llm import arrowtext as at
 from wayfold.llm.langid import held_out
 
-TERMS, WINDOW = 400, 8
+TERMS, WINDOW = 100, 8
 EXACT, MISSPELLED, BEGINNING = 1, 2, 3
 _QUOTES = "\"“”„«»‹›"
 _REPORTING = ("said", "says", "wrote", "writes", "called", "quoted", "quote", "dijo", "escribió", "sagte", "schrieb", "écrit")
@@ -196,36 +196,59 @@ def features(automaton_: Automaton, points: np.ndarray, cuts: np.ndarray) -> np.
     return out
 
 
-def lexicon(texts: list[tuple[str, int]], least: int = 3, purity: float = 0.9) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and word beginnings (of 4 letters and more) of toxic texts, with log-odds weights. A beginning must have several continuations and stands
-    for the words and the longer beginnings below it."""
-    bad, good, n_bad, n_good = Counter(), Counter(), 0, 0
-    heads_bad, heads_good, kinds = Counter(), Counter(), Counter()
+def lexicon(texts: list[tuple[str, int]], least: int = 5, purity: float = 0.8) -> tuple[dict[str, float], dict[str, float]]:
+    """Words and word beginnings (4 to 8 letters) of toxic texts, with log-odds weights.
+
+    A term is taken, most frequent first, if at least four fifths of its texts are toxic, and it occurs either in 3 % of them or in some that no term before it covers. A beginning must
+    have several continuations and stands for all words below it. Only terms of toxic texts are counted in the others."""
+
+    def words_of(text: str) -> set[str]:
+        starts, ends = word_spans(code_points(text))
+        return {text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True) if b - a <= 40}
+
+    heads_of = lambda w: (w[:k] for k in range(4, min(len(w), 8) + 1))
+    bad, heads_bad, kinds, toxic = Counter(), Counter(), Counter(), []
     for text, label in texts:
-        points = code_points(text)
-        starts, ends = word_spans(points)
-        mine = {text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True) if b - a <= 40}
-        heads = {w[:k] for w in mine for k in range(4, min(len(w), 8) + 1)}
         if label:
-            n_bad += 1
+            mine = words_of(text)
+            toxic.append(mine)
             bad.update(mine)
-            heads_bad.update(heads)
-        else:
-            n_good += 1
-            good.update(mine)
-            heads_good.update(heads)
+            heads_bad.update({h for w in mine for h in heads_of(w)})
     for w in bad:
-        for k in range(4, min(len(w), 8) + 1):
-            kinds[w[:k]] += 1
+        kinds.update(heads_of(w))
+    words = {w: n for w, n in bad.items() if n >= least and len(w) > 2}
+    heads = {h: n for h, n in heads_bad.items() if n >= 2 * least and kinds[h] >= 6}
+    good, heads_good = Counter(), Counter()
+    for text, label in texts:
+        if not label:
+            mine = words_of(text)
+            good.update(w for w in mine if w in words)
+            heads_good.update({h for w in mine for h in heads_of(w) if h in heads})
+    n_bad, n_good = len(toxic), len(texts) - len(toxic)
     rate = lambda b, g: float(np.log((b + 0.5) / (n_bad + 1)) - np.log((g + 0.5) / (n_good + 1)))
-    heads: dict[str, float] = {}
-    for h, b in sorted(heads_bad.items(), key=lambda x: (len(x[0]), x[0])):
-        if b >= 3 * least and kinds[h] >= 6 and b >= purity * (b + heads_good[h]) and not any(h[:k] in heads for k in range(4, len(h))):
-            heads[h] = rate(b, heads_good[h])
-    words = {w: rate(b, good[w]) for w, b in bad.items() if len(w) > 2 and b >= least and b >= purity * (b + good[w]) and not any(w[:k] in heads for k in range(4, len(w) + 1))}
-    words = {w: s for w, s in words.items() if s >= 3.5}
-    best = lambda d: dict(sorted(d.items(), key=lambda x: (-x[1], x[0]))[:TERMS])
-    return best(words), best(heads)
+    pure = [(n, "beginning", h) for h, n in heads.items() if n >= purity * (n + heads_good[h])]
+    pure += [(n, "word", w) for w, n in words.items() if n >= purity * (n + good[w])]
+    holders: dict[str, dict[str, set[int]]] = {"word": {}, "beginning": {}}
+    wanted = {sort: {t for _, s, t in pure if s == sort} for sort in holders}
+    for i, mine in enumerate(toxic):
+        for w in mine:
+            if w in wanted["word"]:
+                holders["word"].setdefault(w, set()).add(i)
+            for h in heads_of(w):
+                if h in wanted["beginning"]:
+                    holders["beginning"].setdefault(h, set()).add(i)
+    chosen: dict[str, dict[str, float]] = {"word": {}, "beginning": {}}
+    covered: set[int] = set()
+    for n, sort, term in sorted(pure, key=lambda x: (-x[0], x[1] == "beginning", -len(x[2]), x[2])):
+        if any(term.startswith(h) or sort == "beginning" and h.startswith(term) for h in chosen["beginning"]):
+            continue
+        if sort == "beginning" and any(w.startswith(term) and len(holders["word"][w]) >= 0.8 * n for w in chosen["word"]):
+            continue
+        new = holders[sort][term] - covered
+        if len(chosen[sort]) < TERMS and (n >= 0.03 * n_bad or len(new) >= max(3, 0.005 * n_bad)):
+            chosen[sort][term] = rate(n, (good if sort == "word" else heads_good)[term])
+            covered |= new
+    return chosen["word"], chosen["beginning"]
 
 
 def regress(x: np.ndarray, y: np.ndarray, steps: int = 200) -> tuple[np.ndarray, np.ndarray, float]:
@@ -245,7 +268,7 @@ def regress(x: np.ndarray, y: np.ndarray, steps: int = 200) -> tuple[np.ndarray,
 
 
 def learn(texts: list[tuple[str, int]]) -> Model | None:
-    """From (text, label) pairs; the lexicon comes from one half and the regression from all, so that weights see terms that it lacks."""
+    """From (text, label) pairs: the lexicon first, then the weights of the features that it gives."""
     texts = [(t.lower(), label) for t, label in texts]
     if len({label for _, label in texts}) < 2:
         return None
