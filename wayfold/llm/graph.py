@@ -11,19 +11,24 @@ from wayfold.llm.common import cut
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label): label is the smallest node that the node reaches over `edges`.
 
-    Each round takes the smallest label among the neighbours, then follows labels one step (pointer jumping), so that stars end
-    after two rounds and chains after about the logarithm of their length. Neighbour minima are aggregated map-side first, so
-    a hub costs one row a task. Null ends are ignored; no edges give no rows.
+    A round gives each node the smallest label among itself and its neighbours: stars are done after two. From the third round on
+    labels are also followed one step (pointer jumping), so that chains take about the logarithm of their length. Minima are aggregated map-side, so
+    a hub costs one row a task, and its edges meet its label in a plain equi-join. Labels only fall, so equal sums mean that nothing changed. Null
+    ends are ignored; no edges give no rows.
     """
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
-    both = cut(pairs.union(pairs.select("v", "u")).distinct())
-    labels = cut(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label")))
+    loops = pairs.select("u", F.col("u").alias("v")).union(pairs.select("v", F.col("v").alias("v2")))
+    both = cut(pairs.union(pairs.select("v", "u")).union(loops).distinct())
+    labels = both.groupBy("u").agg(F.min("v").alias("label")).withColumnRenamed("u", "node")
+    last, rounds = None, 0
     while True:
-        near = both.join(labels.select(F.col("node").alias("v"), "label"), "v").groupBy("u").agg(F.min("label").alias("m"))
-        step = labels.join(near.withColumnRenamed("u", "node"), "node", "left").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
-        jump = step.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        new = cut(step.join(jump, "label", "left").select("node", "old", F.least("label", "further").alias("label")))
-        changed = new.where("label <> old").limit(1).count()
-        labels = new.select("node", "label")
-        if not changed:
+        rounds += 1
+        new = both.join(labels.withColumnRenamed("node", "v"), "v").groupBy("u").agg(F.min("label").alias("label")).withColumnRenamed("u", "node")
+        if rounds > 2:
+            jump = new.select(F.col("node").alias("label"), F.col("label").alias("further"))
+            new = new.join(jump, "label", "left").select("node", F.least("label", "further").alias("label"))
+        labels = cut(new)
+        total = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
+        if total == last:
             return labels
+        last = total
