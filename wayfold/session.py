@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -38,3 +40,20 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, **conf: str) -> S
         "spark.checkpoint.dir": os.path.join(tmp, "checkpoints"),
     }
     return build_session(master=f"local[{cores}]", **{**base, **conf})
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Gives this package to Python workers, once for each application, wherever the driver was started."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    at = os.path.join(tempfile.mkdtemp(prefix="wayfold-code-"), "wayfold_code.zip")
+    with zipfile.ZipFile(at, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    spark.sparkContext.addPyFile(at)
+    _shipped.add(app)
