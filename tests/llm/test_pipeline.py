@@ -1,0 +1,22 @@
+import corpus_pipeline
+from wayfold.llm.common import documents, stored
+
+
+def test_stages(spark, sf):
+    docs = documents(spark, sf)
+    columns, ids = docs.columns, {r.doc_id for r in docs.select("doc_id").collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf), name)
+        assert docs.columns == columns
+        left = {r.doc_id for r in docs.select("doc_id").collect()}
+        assert left <= ids and len(left) > 0.5 * len(ids)
+        ids = left
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
+    assert {r.doc_id for r in packed.select("doc_id").collect()} == ids
+
+
+def test_empty(spark, sf):
+    docs = documents(spark, sf).limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf)
+    assert docs.count() == 0
