@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayfold.llm import decontaminate, langid, minhash, packing, pii, secrets, sharding, substring, topk, toxicity
 from wayfold.llm.common import documents
+from wayfold.llm.oracles import ORACLES  # noqa: F401  read by the entry module
 
 
 def op1_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,5 +63,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
 }
-
-ORACLES: dict[str, str] = {}
