@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -37,10 +38,19 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove what finished rounds leave: it learns of unused shuffles and checkpoints only when the driver collects garbage,
+    which a driver with a small heap and few objects does too late."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cuts lineage by a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(True)
+    out = df.checkpoint(True)
+    tidy(df.sparkSession)
+    return out
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -48,6 +58,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/wayfold-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    tidy(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

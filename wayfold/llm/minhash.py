@@ -8,10 +8,11 @@ of equal low bits is not far (six standard deviations) under the threshold, and
 With 25 bands of 5 rows a pair at similarity 0.8 shares no band with probability (1 - 0.8^5)^25, about 5 in 100 000; more
 similar pairs are missed far more rarely.
 
-No bucket emits all its pairs. A bucket first compares its members with one leader; components are formed; then every member
-outside the root's component becomes a leader in turn, compared only with members of other components. A bucket is over when all
-members are in one component or have led, so no link between two components is overlooked, and what is skipped joins documents already
-joined. Leaders still to come are taken all at once when their comparisons number at most four times the memberships.
+No bucket emits all its pairs. A bucket first compares its members with one root, in the first bands, then in the others where that has not joined
+them yet. Members still outside the root's component meet a few helpers out of it. Those that remain become leaders, compared with all
+members of other components: all at once if their comparisons are at most about four times the memberships, else a few a bucket, twice as many each round.
+A bucket is over when its members are in one component or have led, so no link between two components is overlooked, and what is skipped joins
+documents already joined.
 
 Cost: texts are read twice (once for signatures, once shuffled with the classes that share a bucket, for their sets). Bucket
 statistics are aggregated map-side; joins on a hot band or leader are plain equi-joins that adaptive execution splits.
@@ -37,6 +38,8 @@ from wayfold.llm.graph import components
 
 U64 = np.uint64
 BITS = 4
+FIRST_BANDS, HELPERS, HELPER_ROUNDS = 4, 8, 2
+FEW, SLACK = 20_000, 100_000  # comparisons that need no helpers, and that are made at once however few memberships there are
 _COLUMNS = 2048
 
 
@@ -163,39 +166,56 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, *
     sigs = stored(signatures(docs, plan), "minhash")
     usable = sigs.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = stored(usable.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("bits").alias("bits")), "classes")
-    spread = classes.select("rep", F.explode("bands").alias("band"))
+    spread = classes.select("rep", F.posexplode("bands").alias("at", "band"))
     order = F.struct(F.xxhash64("rep").alias("h"), F.col("rep"))
     roots = spread.groupBy("band").agg(F.count("*").alias("size"), F.min(order).alias("root")).where("size > 1")
-    buckets = stored(spread.join(roots, "band").select("band", "rep", "size", F.xxhash64("rep").alias("h"), F.col("root.rep").alias("root"), F.col("root.h").alias("done")), "buckets")
+    buckets = stored(spread.join(roots, "band").select("at", "band", "rep", "size", F.xxhash64("rep").alias("h"), F.col("root.rep").alias("root")), "buckets")
     reps = cut(buckets.groupBy("rep").count().select("rep"))
     labels = reps.select("rep", F.col("rep").alias("label"))
     bits = classes.join(reps, "rep", "left_semi").select(F.col("rep").alias("doc_id"), "bits")
     mine = _texts(docs).join(reps.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
     sets = stored(shingle_sets(mine, plan.shingle).dropDuplicates(["doc_id"]), "sets")
 
-    first = cut(buckets.where("rep <> root").select(F.col("root").alias("a"), F.col("rep").alias("b")).distinct())
-    labels = _relabel(labels, _linked(first, bits, sets, plan))
-    open_ = buckets.where("size > 2")
+    def compare(pairs: DataFrame) -> None:
+        nonlocal labels
+        labels = _relabel(labels, _linked(cut(pairs.distinct()), bits, sets, plan))
+
+    compare(buckets.where(f"rep <> root AND at < {FIRST_BANDS}").select(F.col("root").alias("a"), F.col("rep").alias("b")))
+    rest = buckets.where(f"rep <> root AND at >= {FIRST_BANDS}").select(F.col("root").alias("a"), F.col("rep").alias("b")).distinct()
+    sides = [labels.select(F.col("rep").alias(c), F.col("label").alias(f"l{c}")) for c in "ab"]
+    compare(rest.join(sides[0], "a").join(sides[1], "b").where("la <> lb").select("a", "b"))
+
+    open_ = buckets.where("size > 2").select("band", "rep", "size", "h", "root", (F.col("rep") == F.col("root")).alias("led"))
+    step, bound = 0, 4 * buckets.count() + SLACK
     while True:
         named = cut(open_.join(labels, "rep"))
         mains = named.groupBy("band").agg(F.max(F.when(F.col("rep") == F.col("root"), F.col("label"))).alias("main"), F.min("label").alias("low"), F.max("label").alias("high"))
-        open_ = named.join(mains.where("low <> high"), "band").withColumn("waits", (F.col("label") != F.col("main")) & (F.col("h") > F.col("done")))
-        open_ = cut(open_.select("band", "rep", "size", "h", "root", "done", "label", "waits"))
+        waits = (F.col("label") != F.col("main")) & ~F.col("led")
+        open_ = cut(named.join(mains.where("low <> high").select("band", "main"), "band").withColumn("waits", waits))
+        counts = open_.where("waits").groupBy("band").agg(F.count("*").alias("waiting"))
         todo = open_.where("waits").agg(F.sum(F.col("size").cast("double"))).first()[0] or 0
         if not todo:
             break
-        leads = open_.where("waits")
-        at_once = todo <= 4 * buckets.count() + 100_000
-        if not at_once:
-            leads = leads.groupBy("band").agg(F.min(F.struct("h", "rep", "label")).alias("next")).select("band", "next.h", "next.rep", "next.label")
-        leads = leads.select("band", F.col("rep").alias("a"), F.col("h").alias("lead_h"), F.col("label").alias("lead_label"))
-        others = open_.where("rep <> root").select("band", F.col("rep").alias("b"), "label", "h", "waits")
-        met = cut(others.join(leads, "band").where("label <> lead_label AND (h > lead_h OR NOT waits)").select("a", "b").distinct())
-        labels = _relabel(labels, _linked(met, bits, sets, plan))
-        if at_once:
+        waiting = open_.where("waits").select("band", F.col("rep").alias("a"))
+        if todo > FEW and step < HELPER_ROUNDS:
+            step += 1
+            chosen = F.pmod(F.xxhash64("h", F.lit(step)), F.greatest(F.lit(1), F.floor(F.col("size") / HELPERS))) == 0
+            helpers = open_.where((F.col("label") == F.col("main")) & chosen).select("band", F.col("rep").alias("b"))
+            compare(waiting.join(helpers, "band").select("a", "b"))
+            open_ = open_.select("band", "rep", "size", "h", "root", "led")
+            continue
+        # leaders: all if there are few, else about four a bucket, doubled every round
+        step += 1
+        share = 1 if todo <= bound else 4 << (step - HELPER_ROUNDS)
+        leads = F.lit(True) if todo <= bound else F.pmod(F.xxhash64("h", F.lit(step)), F.ceil(F.col("waiting") / share)) == 0
+        open_ = cut(open_.join(counts, "band").withColumn("leads", F.col("waits") & leads))
+        leaders = open_.where("leads").select("band", F.col("rep").alias("a"), F.col("label").alias("lead_label"))
+        others = open_.where("NOT led").select("band", F.col("rep").alias("b"), "label", "leads")
+        met = others.join(leaders, "band").where("label <> lead_label AND (NOT leads OR a < b)")
+        compare(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        if todo <= bound:
             break
-        later = open_.where("waits").groupBy("band").agg(F.min("h").alias("later"))
-        open_ = cut(open_.join(later, "band").select("band", "rep", "size", "h", "root", F.col("later").alias("done")))
+        open_ = open_.select("band", "rep", "size", "h", "root", (F.col("led") | F.col("leads")).alias("led"))
 
     named = classes.select("set_a", "set_b", "rep").join(labels, "rep", "left").select("set_a", "set_b", F.coalesce("label", "rep").alias("component"))
     out = sigs.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
