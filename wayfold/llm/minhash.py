@@ -9,7 +9,7 @@ With 25 bands of 5 rows a pair at similarity 0.8 shares no band with probability
 similar pairs are missed far more rarely.
 
 No bucket emits all its pairs. A bucket first compares its members with one root, in the first bands, then in the others where that has not joined
-them yet. Members still outside the root's component meet a few helpers out of it. Those that remain become leaders, compared with all
+them yet. If many members are still outside the root's component, they meet a few helpers out of it. Those that remain become leaders, compared with all
 members of other components: all at once if their comparisons are at most about four times the memberships, else a few a bucket, twice as many each round.
 A bucket is over when its members are in one component or have led, so no link between two components is overlooked, and what is skipped joins
 documents already joined.
@@ -39,7 +39,7 @@ from wayfold.llm.graph import components
 U64 = np.uint64
 BITS = 4
 FIRST_BANDS, HELPERS, HELPER_ROUNDS = 4, 8, 2
-FEW, SLACK = 20_000, 100_000  # comparisons that need no helpers, and that are made at once however few memberships there are
+FEW, SLACK = 2, 100_000  # comparisons a membership that need no helpers; comparisons that are made at once however few memberships there are
 _COLUMNS = 2048
 
 
@@ -186,7 +186,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, *
     compare(rest.join(sides[0], "a").join(sides[1], "b").where("la <> lb").select("a", "b"))
 
     open_ = buckets.where("size > 2").select("band", "rep", "size", "h", "root", (F.col("rep") == F.col("root")).alias("led"))
-    step, bound = 0, 4 * buckets.count() + SLACK
+    step, members = 0, buckets.count()
+    bound = 4 * members + SLACK
     while True:
         named = cut(open_.join(labels, "rep"))
         mains = named.groupBy("band").agg(F.max(F.when(F.col("rep") == F.col("root"), F.col("label"))).alias("main"), F.min("label").alias("low"), F.max("label").alias("high"))
@@ -197,7 +198,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, *
         if not todo:
             break
         waiting = open_.where("waits").select("band", F.col("rep").alias("a"))
-        if todo > FEW and step < HELPER_ROUNDS:
+        if todo > FEW * members and step < HELPER_ROUNDS:
             step += 1
             chosen = F.pmod(F.xxhash64("h", F.lit(step)), F.greatest(F.lit(1), F.floor(F.col("size") / HELPERS))) == 0
             helpers = open_.where((F.col("label") == F.col("main")) & chosen).select("band", F.col("rep").alias("b"))
@@ -206,7 +207,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, *
             continue
         # leaders: all if there are few, else about four a bucket, doubled every round
         step += 1
-        share = 1 if todo <= bound else 4 << (step - HELPER_ROUNDS)
+        share = 1 if todo <= bound else 4 << max(0, step - HELPER_ROUNDS)
         leads = F.lit(True) if todo <= bound else F.pmod(F.xxhash64("h", F.lit(step)), F.ceil(F.col("waiting") / share)) == 0
         open_ = cut(open_.join(counts, "band").withColumn("leads", F.col("waits") & leads))
         leaders = open_.where("leads").select("band", F.col("rep").alias("a"), F.col("label").alias("lead_label"))
