@@ -388,29 +388,29 @@ def duplicates(spark, d):
     return view(spark, d, "copies").agg(F.count("*").alias("rows"), F.countDistinct("osm_id").alias("ids"))
 
 
-@query("agg11_country_totals", _SHAPED + " SELECT country, count(*) AS roads, round(sum(length_km), 1) AS km FROM shaped GROUP BY country", "road_tags")
+@query("agg11_country_totals", _SHAPED + " SELECT country, count(*) AS roads, CAST(sum(CAST(length_km AS DECIMAL(20,4))) AS DECIMAL(20,1)) AS km FROM shaped GROUP BY country", "road_tags")
 def country_totals(spark, d):
-    return shaped(spark, d).groupBy("country").agg(F.count("*").alias("roads"), F.round(F.sum("length_km"), 1).alias("km"))
+    return shaped(spark, d).groupBy("country").agg(F.count("*").alias("roads"), F.sum(F.col("length_km").cast("decimal(20,4)")).cast("decimal(20,1)").alias("km"))
 
 
 _PCT = "CAST(round(100.0*avg(CASE WHEN {} THEN 1 ELSE 0 END), 1) AS DECIMAL(6,1))"
 
 
-@query("agg12_summary_class", _SHAPED + f" SELECT country, highway_class, surface_type, count(*) AS road_count, CAST(sum(length_km) AS DECIMAL(20,2)) AS total_km, CAST(avg(length_km) AS DECIMAL(20,4)) AS avg_km, {_PCT.format('road_name IS NOT NULL')} AS pct_named, {_PCT.format('maxspeed_kmh IS NOT NULL')} AS pct_with_speed FROM shaped GROUP BY 1, 2, 3", "road_tags")
+@query("agg12_summary_class", _SHAPED + f" SELECT country, highway_class, surface_type, count(*) AS road_count, CAST(sum(CAST(length_km AS DECIMAL(20,4))) AS DECIMAL(20,2)) AS total_km, CAST(avg(length_km) AS DECIMAL(20,4)) AS avg_km, {_PCT.format('road_name IS NOT NULL')} AS pct_named, {_PCT.format('maxspeed_kmh IS NOT NULL')} AS pct_with_speed FROM shaped GROUP BY 1, 2, 3", "road_tags")
 def summary_class(spark, d):
     share = lambda c: F.round(F.lit(100.0) * F.avg(F.when(c, 1).otherwise(0)), 1).cast("decimal(6,1)")
     return shaped(spark, d).groupBy("country", "highway_class", "surface_type").agg(
-        F.count("*").alias("road_count"), F.sum("length_km").cast("decimal(20,2)").alias("total_km"), F.avg("length_km").cast("decimal(20,4)").alias("avg_km"),
+        F.count("*").alias("road_count"), F.sum(F.col("length_km").cast("decimal(20,4)")).cast("decimal(20,2)").alias("total_km"), F.avg("length_km").cast("decimal(20,4)").alias("avg_km"),
         share(F.col("road_name").isNotNull()).alias("pct_named"), share(F.col("maxspeed_kmh").isNotNull()).alias("pct_with_speed"),
     )
 
 
-@query("agg13_summary_surface", _SHAPED + " SELECT country, " + ", ".join(f"count(*) FILTER (WHERE surface_type = '{s}') AS segments_{s}, CAST(coalesce(sum(length_km) FILTER (WHERE surface_type = '{s}'), 0) AS DECIMAL(20,2)) AS km_{s}" for s in ("paved", "unpaved", "unknown")) + f", count(*) AS total_segments, {_PCT.format(chr(39).join(['surface_type = ', 'paved', '']))} AS pct_paved FROM shaped GROUP BY country", "road_tags")
+@query("agg13_summary_surface", _SHAPED + " SELECT country, " + ", ".join(f"count(*) FILTER (WHERE surface_type = '{s}') AS segments_{s}, CAST(coalesce(sum(CAST(length_km AS DECIMAL(20,4))) FILTER (WHERE surface_type = '{s}'), 0) AS DECIMAL(20,2)) AS km_{s}" for s in ("paved", "unpaved", "unknown")) + f", count(*) AS total_segments, {_PCT.format(chr(39).join(['surface_type = ', 'paved', '']))} AS pct_paved FROM shaped GROUP BY country", "road_tags")
 def summary_surface(spark, d):
     aggs = []
     for s in ("paved", "unpaved", "unknown"):
         mine = F.col("surface_type") == s
-        aggs += [F.count_if(mine).alias(f"segments_{s}"), F.coalesce(F.sum(F.when(mine, F.col("length_km"))), F.lit(0.0)).cast("decimal(20,2)").alias(f"km_{s}")]
+        aggs += [F.count_if(mine).alias(f"segments_{s}"), F.coalesce(F.sum(F.when(mine, F.col("length_km").cast("decimal(20,4)"))), F.lit(0)).cast("decimal(20,2)").alias(f"km_{s}")]
     pct = F.round(F.lit(100.0) * F.avg(F.when(F.col("surface_type") == "paved", 1).otherwise(0)), 1).cast("decimal(6,1)")
     return shaped(spark, d).groupBy("country").agg(*aggs, F.count("*").alias("total_segments"), pct.alias("pct_paved"))
 
