@@ -46,11 +46,9 @@ def tidy(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cuts lineage by a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    out = df.checkpoint(True)
-    tidy(df.sparkSession)
-    return out
+    """Cuts lineage by a table written in the shared folder. A checkpoint would do so too, but its frame keeps the size estimates of the plan before it;
+    those of joins are products, and over rounds of joins they become numbers of so many digits that planning takes minutes and the driver's memory."""
+    return stored(df, "cut")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
