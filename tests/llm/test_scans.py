@@ -65,6 +65,11 @@ def test_pii_base_and_added(spark, model):
         assert set(want) <= set(r.spans.split(",")) | {""}
 
 
+@pytest.mark.parametrize("text", ["8.8.8.8", "ping 8.8.8.8 now", "dns 1.1.1.1", "call +1.2.3.4.5.6.7.8.9", "+1(2)3(4)5(6)7(8)9", "1 x"])
+def test_pii_base_of_parted_digits(text):
+    assert [f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in pii.base_spans(text)] == plain_pii(text)
+
+
 def test_pii_held_out(model):
     rng = np.random.default_rng(99)
     right = total = wrong = 0

@@ -37,6 +37,7 @@ _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+_ANY_DIGIT = re.compile("[0-9]")
 
 _SYMBOLS = "abcdefghijklmnopqrstuvwxyz@.-_+()[]{}<>:/,#%*\"'=;"
 _OTHER_LETTER, _DIGIT, _SPACE, _BREAK, _OTHER = (len(_SYMBOLS) + k for k in range(5))
@@ -79,7 +80,7 @@ def _digits(s: str) -> str:
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of the base patterns, by kind and start."""
     out = [(0, a, b) for a, b in _emails(text)] if "@" in text else []
-    if _CARD.search(text):
+    if _ANY_DIGIT.search(text):  # all that the three patterns have in common
         out += [(1, m.start(), m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m.group().split("."))]
         for m in _CARD.finditer(text):
             d = _digits(m.group())
