@@ -171,6 +171,27 @@ def test_automaton_equals_edit_distance():
         assert k == (1 if exact else 3 if w.startswith("lowe") else 2 if near else 0), w
 
 
+def test_lexicon_takes_every_pure_term():
+    """Words that are in few toxic texts, and only beside a frequent one, are terms too."""
+    rare = ["q" + "".join("abcdefghij"[int(d)] for d in f"{k:03d}") + "zz" for k in range(150)]
+    texts = [(f"scumbag {w} the", 1) for w in rare for _ in range(3)] + [("the and of", 0)] * 450
+    words, _ = toxicity.lexicon(texts)
+    assert set(rare) | {"scumbag"} <= set(words) and "the" not in words
+
+
+def test_automata_in_parts_equal_one():
+    rng = np.random.default_rng(4)
+    word = lambda n: "".join(rng.choice(list("abcé"), n))
+    terms, heads = {word(int(rng.integers(3, 11))): float(rng.integers(1, 50)) for _ in range(30)}, {word(4): float(k) for k in range(3)}
+    points = toxicity.code_points(" ".join([word(int(rng.integers(1, 12))) for _ in range(3000)] + list(terms)))
+    starts, ends = toxicity.word_spans(points)
+    machine = toxicity.automaton(terms, heads)
+    state = toxicity.run(machine, points, starts, ends)
+    kind, weight = toxicity.hits_of(toxicity.automata(terms, heads, part=7), points, starts, ends)
+    assert set(kind.tolist()) == {0, 1, 2, 3}
+    assert (kind == machine.kind[state]).all() and (weight == machine.weight[state]).all()
+
+
 def test_quotation():
     machine = toxicity.automaton({"idiot": 3.0}, {})
     abuse, quoted, said = (toxicity.features(machine, p := toxicity.code_points(t), np.array([0, len(p)]))[0] for t in ("you are an idiot", 'the word "idiot" is old', "he said idiot"))

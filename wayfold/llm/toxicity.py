@@ -1,13 +1,13 @@
 """Toxicity scores by Levenshtein automata over a learned lexicon, with context windows.
 
 Learning (driver, at most `sample` labelled documents, the smallest xxhash64 of their doc_id): words and word beginnings that occur
-almost only in documents labelled toxic make the lexicon. Its trie is intersected with Levenshtein automata (one error from five letters
-on, two from nine on) and made deterministic: one table over (state, letter class) that runs over all words of a chunk in step, a
-letter at a time, and drops words whose state is dead. A hit is exact, misspelled, or a word that begins with a learned beginning.
+almost only in documents labelled toxic make the lexicon, all of them. Its trie is intersected with Levenshtein automata (one error from five letters
+on, two from nine on) and made deterministic, in parts of `PART` terms, since states multiply with the terms of a part: a part is one table over
+(state, letter class) that runs over the distinct words of a chunk in step, a letter at a time, and drops words whose state is dead. A hit is exact, misspelled, or a word that begins with a learned beginning.
 
 Each hit looks at a window of words around it: inside quotation marks, or near a verb of reporting, it counts as quotation, else
 as abuse; other hits in the window strengthen it. Counts of each sort are the features of a logistic regression
-fitted on the same sample. Texts are scored whole, in one pass without a shuffle; the table and weights are small and bounded by `TERMS`.
+fitted on the same sample. Texts are scored whole, in one pass without a shuffle; tables and weights are bounded by the sample.
 
 Defined cases: null and empty texts get the score of a text without hits; a null doc_id is scored, never held out, and not learned from;
 documents with several labels are learned from once for each; without labels of both kinds every score is 0. Extra columns are ignored.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from wayfold.llm import arrowtext as at
 from wayfold.llm.langid import held_out
 
-TERMS, WINDOW = 100, 8
+PART, WINDOW = 16, 8
 EXACT, MISSPELLED, BEGINNING = 1, 2, 3
 _QUOTES = "\"“”„«»‹›"
 _REPORTING = ("said", "says", "wrote", "writes", "called", "quoted", "quote", "dijo", "escribió", "sagte", "schrieb", "écrit")
@@ -146,17 +146,47 @@ def run(automaton_: Automaton, points: np.ndarray, starts: np.ndarray, ends: np.
     return state
 
 
+def automata(words: dict[str, float], beginnings: dict[str, float], part: int = PART) -> list[Automaton]:
+    """The lexicon's automata, of at most `part` terms each; neighbours in the alphabet share a part and so their tries' nodes."""
+    names, heads = sorted(words), sorted(beginnings)
+    out = [automaton({w: words[w] for w in names[i : i + part]}, {}) for i in range(0, len(names), part)]
+    return out + [automaton({}, {h: beginnings[h] for h in heads[i : i + part]}) for i in range(0, len(heads), part)]
+
+
+def distinct_words(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each distinct word one place, and of each word its distinct word, by 64-bit hashes: sums of mixed letters times powers of an odd number."""
+    powers = np.full(len(points), 0x9E3779B97F4A7C15, np.uint64).cumprod(dtype=np.uint64)
+    inverse = np.full(len(points), pow(0x9E3779B97F4A7C15, -1, 1 << 64), np.uint64).cumprod(dtype=np.uint64)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(at.mix(points.astype(np.uint64) + np.uint64(1)) * powers, dtype=np.uint64)))
+    hashes = at.mix((sums[ends] - sums[starts]) * inverse[starts]) + (ends - starts).astype(np.uint64)
+    _, place, which = np.unique(hashes, return_index=True, return_inverse=True)
+    return place, which
+
+
+def hits_of(parts: Automaton | list[Automaton], points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Kind and weight of each word: exact before beginning before misspelled, as in one automaton of all terms, and the largest weight of the kind."""
+    place, which = distinct_words(points, starts, ends)
+    starts, ends = starts[place], ends[place]
+    kind, weight, rank = np.zeros(len(place), np.int8), np.zeros(len(place)), np.array([0, 3, 1, 2])
+    for part in [parts] if isinstance(parts, Automaton) else parts:
+        state = run(part, points, starts, ends)
+        k, w = part.kind[state], part.weight[state]
+        better = (rank[k] > rank[kind]) | (k == kind) & (w > weight)
+        kind[better], weight[better] = k[better], w[better]
+    return kind[which], weight[which]
+
+
 FEATURES = ("abuse exact", "abuse misspelled", "abuse beginning", "quotation", "weight", "share of words", "together")
 
 
 class Model(NamedTuple):
-    automaton: Automaton
+    automata: list[Automaton]
     scale: np.ndarray
     weights: np.ndarray
     bias: float
 
 
-def features(automaton_: Automaton, points: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+def features(parts: Automaton | list[Automaton], points: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     """A row of FEATURES for each text; cuts are the texts' offsets in code points. Texts are separated by their cuts only."""
     out = np.zeros((len(cuts) - 1, len(FEATURES)))
     starts, ends = word_spans(points)
@@ -165,8 +195,9 @@ def features(automaton_: Automaton, points: np.ndarray, cuts: np.ndarray) -> np.
     split = inner[(whole > 0) & (ends[np.maximum(whole - 1, 0)] > inner) & (starts[np.maximum(whole - 1, 0)] < inner)] if len(starts) else inner[:0]
     if len(split):  # a word that runs over the end of a text is two
         starts, ends = np.sort(np.append(starts, split)), np.sort(np.append(ends, split))
-    state = run(automaton_, points, starts, ends)
-    kind = automaton_.kind[state]
+    if not len(starts):
+        return out
+    kind, weight = hits_of(parts, points, starts, ends)
     hits = np.flatnonzero(kind)
     if not len(hits):
         return out
@@ -189,17 +220,17 @@ def features(automaton_: Automaton, points: np.ndarray, cuts: np.ndarray) -> np.
         together += (np.abs(other - hits) <= 3 * WINDOW) & (np.roll(doc, shift) == doc) & (other != hits)
     for column, mask in enumerate((~quoted & (kind[hits] == EXACT), ~quoted & (kind[hits] == MISSPELLED), ~quoted & (kind[hits] == BEGINNING), quoted)):
         out[:, column] = np.log1p(np.bincount(doc[mask], minlength=len(out)))
-    weight = automaton_.weight[state[hits]]
+    weight = weight[hits]
     out[:, 4] = np.log1p(np.bincount(doc, weight, minlength=len(out)))
     out[:, 5] = np.sqrt(np.bincount(doc, minlength=len(out)) / words)
     out[:, 6] = np.log1p(np.bincount(doc, together, minlength=len(out)))
     return out
 
 
-def lexicon(texts: list[tuple[str, int]], least: int = 5, purity: float = 0.8) -> tuple[dict[str, float], dict[str, float]]:
+def lexicon(texts: list[tuple[str, int]], least: int = 3, purity: float = 0.8) -> tuple[dict[str, float], dict[str, float]]:
     """Words and word beginnings (4 to 8 letters) of toxic texts, with log-odds weights.
 
-    A term is taken, most frequent first, if at least four fifths of its texts are toxic, and it occurs either in 3 % of them or in some that no term before it covers. A beginning must
+    Every term is taken that occurs in `least` toxic texts and of whose texts at least four fifths are toxic, however many there are. A beginning must
     have several continuations and stands for all words below it. Only terms of toxic texts are counted in the others."""
 
     def words_of(text: str) -> set[str]:
@@ -207,11 +238,11 @@ def lexicon(texts: list[tuple[str, int]], least: int = 5, purity: float = 0.8) -
         return {text[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True) if b - a <= 40}
 
     heads_of = lambda w: (w[:k] for k in range(4, min(len(w), 8) + 1))
-    bad, heads_bad, kinds, toxic = Counter(), Counter(), Counter(), []
+    bad, heads_bad, kinds, n_bad = Counter(), Counter(), Counter(), 0
     for text, label in texts:
         if label:
             mine = words_of(text)
-            toxic.append(mine)
+            n_bad += 1
             bad.update(mine)
             heads_bad.update({h for w in mine for h in heads_of(w)})
     for w in bad:
@@ -224,31 +255,10 @@ def lexicon(texts: list[tuple[str, int]], least: int = 5, purity: float = 0.8) -
             mine = words_of(text)
             good.update(w for w in mine if w in words)
             heads_good.update({h for w in mine for h in heads_of(w) if h in heads})
-    n_bad, n_good = len(toxic), len(texts) - len(toxic)
+    n_good = len(texts) - n_bad
     rate = lambda b, g: float(np.log((b + 0.5) / (n_bad + 1)) - np.log((g + 0.5) / (n_good + 1)))
-    pure = [(n, "beginning", h) for h, n in heads.items() if n >= purity * (n + heads_good[h])]
-    pure += [(n, "word", w) for w, n in words.items() if n >= purity * (n + good[w])]
-    holders: dict[str, dict[str, set[int]]] = {"word": {}, "beginning": {}}
-    wanted = {sort: {t for _, s, t in pure if s == sort} for sort in holders}
-    for i, mine in enumerate(toxic):
-        for w in mine:
-            if w in wanted["word"]:
-                holders["word"].setdefault(w, set()).add(i)
-            for h in heads_of(w):
-                if h in wanted["beginning"]:
-                    holders["beginning"].setdefault(h, set()).add(i)
-    chosen: dict[str, dict[str, float]] = {"word": {}, "beginning": {}}
-    covered: set[int] = set()
-    for n, sort, term in sorted(pure, key=lambda x: (-x[0], x[1] == "beginning", -len(x[2]), x[2])):
-        if any(term.startswith(h) or sort == "beginning" and h.startswith(term) for h in chosen["beginning"]):
-            continue
-        if sort == "beginning" and any(w.startswith(term) and len(holders["word"][w]) >= 0.8 * n for w in chosen["word"]):
-            continue
-        new = holders[sort][term] - covered
-        if len(chosen[sort]) < TERMS and (n >= 0.03 * n_bad or len(new) >= max(3, 0.005 * n_bad)):
-            chosen[sort][term] = rate(n, (good if sort == "word" else heads_good)[term])
-            covered |= new
-    return chosen["word"], chosen["beginning"]
+    pure = lambda mine, others: {t: rate(n, others[t]) for t, n in sorted(mine.items()) if n >= purity * (n + others[t])}
+    return pure(words, good), pure(heads, heads_good)
 
 
 def regress(x: np.ndarray, y: np.ndarray, steps: int = 200) -> tuple[np.ndarray, np.ndarray, float]:
@@ -272,9 +282,12 @@ def learn(texts: list[tuple[str, int]]) -> Model | None:
     texts = [(t.lower(), label) for t, label in texts]
     if len({label for _, label in texts}) < 2:
         return None
-    machine = automaton(*lexicon(texts))
-    rows = np.concatenate([features(machine, p := code_points(t), np.array([0, len(p)])) for t, _ in texts])
-    return Model(machine, *regress(rows, np.array([label for _, label in texts], float)))
+    parts, rows = automata(*lexicon(texts)), []
+    for i in range(0, len(texts), 256):
+        some = [t for t, _ in texts[i : i + 256]]
+        rows.append(features(parts, code_points("".join(some)), np.concatenate(([0], np.cumsum([len(t) for t in some]))).astype(np.int64)))
+    rows = np.concatenate(rows)
+    return Model(parts, *regress(rows, np.array([label for _, label in texts], float)))
 
 
 def _scores(chunk: at.Chunk, model: Model | None) -> np.ndarray:
@@ -282,7 +295,7 @@ def _scores(chunk: at.Chunk, model: Model | None) -> np.ndarray:
     if model is None:
         return np.zeros(n)
     texts = [chunk.text(i).decode(errors="replace").lower() for i in range(n)]
-    x = features(model.automaton, code_points("".join(texts)), np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64))
+    x = features(model.automata, code_points("".join(texts)), np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64))
     return 1 / (1 + np.exp(-np.clip((x / model.scale) @ model.weights + model.bias, -30, 30)))
 
 
