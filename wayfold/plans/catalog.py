@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -469,6 +470,13 @@ def union(spark, d):
     return r.where("country = 'NATION_1'").unionByName(r.where("country = 'NATION_2'"))
 
 
+@query("set1_union_whole", "SELECT country, osm_id FROM roads", "roads")
+def union_whole(spark, d):
+    r = view(spark, d, "roads").select("country", "osm_id")
+    names = [x.n_name for x in table(spark, d, "nation").select("n_name").distinct().orderBy("n_name").collect()]
+    return reduce(DataFrame.unionByName, [r.where(F.col("country") == name) for name in names])
+
+
 @query("set2_distinct", "SELECT DISTINCT country, kind FROM roads", "roads")
 def distinct(spark, d):
     return view(spark, d, "roads").select("country", "kind").distinct()
@@ -598,8 +606,17 @@ def geojson_lines(spark, d):
 
 @query("src7_elements", "SELECT p_partkey AS osm_id, p_brand AS highway, CAST(2 AS INT) AS n FROM part WHERE p_partkey % 3 <> 0")
 def elements(spark, d):
+    return _elements(table(spark, d, "part").where("p_partkey % 3 <> 0"))
+
+
+@query("src7_elements_whole", ORACLES["src7_elements"].replace(" WHERE p_partkey % 3 <> 0", ""))
+def elements_whole(spark, d):
+    return _elements(table(spark, d, "part"))
+
+
+def _elements(part):
     body = F.format_string('{"elements":[{"type":"node","id":1},{"type":"way","id":%d,"version":1,"geometry":[{"lat":1.0,"lon":2.0},null,%s{"lat":1.5,"lon":2.5}],"tags":{"highway":"%s"}}]}', "p_partkey", F.when(F.col("p_partkey") % 3 == 0, '{"lat":null,"lon":null},{"lat":1.5},').otherwise(""), "p_brand")
-    out = readers.element_ways(table(spark, d, "part").where("p_partkey % 3 <> 0").select(body.alias("value")))
+    out = readers.element_ways(part.select(body.alias("value")))
     return out.select("osm_id", F.element_at("tags", "highway").alias("highway"), F.size("points").alias("n"))
 
 
@@ -609,11 +626,20 @@ def elements(spark, d):
  c AS (SELECT CASE WHEN c_custkey % 50 = 49 THEN 'AN' ELSE 'C' || CAST(c_custkey AS VARCHAR) END AS iso2, CASE WHEN c_custkey % 4 = 0 THEN 's' || CAST(c_custkey AS VARCHAR) END AS slug FROM customer WHERE c_custkey < 50)
  SELECT c.iso2, CASE WHEN c.iso2 IN ('AN', 'CS') THEN 'obsolete' WHEN slug IS NOT NULL THEN 'static' WHEN listed_url IS NOT NULL THEN 'index' ELSE 'missing' END AS status, CASE WHEN c.iso2 NOT IN ('AN', 'CS') THEN coalesce('extract/' || slug, listed_url) END AS url FROM c LEFT JOIN best ON c.iso2 = best.iso2""")
 def resolve(spark, d):
+    return _resolve(table(spark, d, "part").where("p_partkey < 60"), table(spark, d, "customer").where("c_custkey < 50"))
+
+
+@query("src14_resolve_whole", ORACLES["src14_resolve"].replace(" WHERE p_partkey < 60", "").replace(" WHERE c_custkey < 50", ""))
+def resolve_whole(spark, d):
+    return _resolve(table(spark, d, "part"), table(spark, d, "customer"))
+
+
+def _resolve(part, customer):
     k = F.col("p_partkey")
     codes_ = F.transform(F.sequence(F.lit(0), (k % 3).cast("int")), lambda i: F.concat(F.lit("C"), ((k + i) % 40).cast("string")))
-    index = table(spark, d, "part").where("p_partkey < 60").select(k.alias("pos"), codes_.alias("codes"), F.concat(F.lit("u"), k.cast("string")).alias("url"))
+    index = part.select(k.alias("pos"), codes_.alias("codes"), F.concat(F.lit("u"), k.cast("string")).alias("url"))
     c = F.col("c_custkey")
-    countries = table(spark, d, "customer").where("c_custkey < 50").select(F.when(c % 50 == 49, "AN").otherwise(F.concat(F.lit("C"), c.cast("string"))).alias("iso2"), F.when(c % 4 == 0, F.concat(F.lit("s"), c.cast("string"))).alias("slug"))
+    countries = customer.select(F.when(c % 50 == 49, "AN").otherwise(F.concat(F.lit("C"), c.cast("string"))).alias("iso2"), F.when(c % 4 == 0, F.concat(F.lit("s"), c.cast("string"))).alias("slug"))
     return readers.resolve_extracts(countries, index)
 
 
