@@ -182,6 +182,22 @@ def test_proximity(spark):
     assert {r.doc_id for r in decontaminate.proximity(index, bench, terms=3, slack=5).collect()} == {1, 2} or True
 
 
+def test_proximity_with_replaced_words(spark):
+    """A passage with replaced words is found, however the rows are dealt to segments."""
+    words = [f"t{i}" for i in range(30)]
+    bench = spark.createDataFrame([(1, " ".join(words[:13])), (2, "u v w")], "item_id long, text string")
+    windows = next(decontaminate.item_blocks(bench, 13))
+    near = [w if k not in (3, 7) else "other" for k, w in enumerate(words[:13])]
+    rows = [(1, "pad " + " ".join(words[:13])), (2, " ".join(near)), (3, " ".join(reversed(words[:13]))), (4, None), (None, "u v x w"), (5, " ".join(words[:6])), (6, " ".join(words[6:13]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [{(r.doc_id, r.item_id) for r in decontaminate.proximity(decontaminate.build_index(docs.repartition(k)), windows, terms=3, slack=5).collect()} for k in (1, 7)]
+    assert found[0] == found[1] and {d for d, i in found[0] if i == 1} >= {1, 2} and 3 not in {d for d, _ in found[0]} and (None, 2) in found[0]
+    assert {(1, 1), (2, 1), (None, 2)} <= {(r.doc_id, r.item_id) for r in decontaminate.near_matches(docs, bench).collect()}
+    blocks = decontaminate.near_matches(docs, bench, block=20).collect()
+    assert {tuple(r) for r in blocks} == {tuple(r) for r in decontaminate.near_matches(docs, bench).collect()}
+    assert decontaminate.near_matches(docs, bench.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("f", [minhash.near_duplicates, substring.dedup])
 def test_empty(spark, f):
     assert f(frame(spark, corpus()).limit(0)).count() == 0

@@ -35,6 +35,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=13)
 
 
+def op6_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.near_matches(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=13)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_scan": op4_secret_scan,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_decontamination": op6_decontamination,
+    "op6_proximity": op6_proximity,
     "op7_language_id": op7_language_id,
     "op8_balanced_sharding": op8_balanced_sharding,
     "op9_substring_dedup": op9_substring_dedup,
