@@ -50,40 +50,70 @@ def test_long_word_has_the_same_hash_in_pieces():
     assert len(h) == 3 and h[1] == h[2] != h[0]
 
 
-@pytest.mark.parametrize("n", [4, 5])
-def test_near_duplicates(spark, n):
-    rows = corpus(n)
-    got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(frame(spark, rows), shingle=n).collect()}
-    sets = {}
-    for i, t in rows:
+def near_duplicate_rows(rows, n):
+    """Brute force: every pair of texts, then the smallest doc_id reachable."""
+    def grams(t):
         w = (t or "").encode().lower().split()
-        sets.setdefault(i, frozenset(tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))) if w else frozenset())
-    ids = [i for i in sets if i is not None]
-    root = {i: i for i in ids}
+        return frozenset(tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))) if w else frozenset()
+
+    sets = [grams(t) for _, t in rows]
+    root = list(range(len(rows)))
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    for a in ids:
-        for b in ids:
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
-                x, y = find(a), find(b)
-                root[max(x, y)] = min(x, y)
-    want = {(i, len(s), None if i is None else find(i), i is None or find(i) == i) for i, s in sets.items()}
-    assert got == want
+    able = [k for k, (i, _) in enumerate(rows) if i is not None and sets[k]]
+    for x in able:
+        for y in able:
+            if x < y and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+                a, b = find(x), find(y)
+                root[max(a, b)] = min(a, b)
+    least = {}
+    for k in able:
+        least[find(k)] = min(least.get(find(k), rows[k][0]), rows[k][0])
+    return Counter((i, len(sets[k]), None if i is None else least.get(find(k), i), i is None or least.get(find(k), i) == i) for k, (i, _) in enumerate(rows))
+
+
+@pytest.mark.parametrize("n", [4, 5])
+def test_near_duplicates(spark, n):
+    rows = corpus(n)
+    assert Counter(map(tuple, minhash.near_duplicates(frame(spark, rows), shingle=n).collect())) == near_duplicate_rows(rows, n)
+
+
+def test_repeated_ids_are_judged_by_their_own_text(spark):
+    a, b = ([f"{c}{i}" for i in range(60)] for c in "ab")
+    near = lambda w: " ".join([*w[:-1], "x"])
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (8, near(a)), (9, near(b)), (9, "alone with words of its own")]
+    got = Counter(map(tuple, minhash.near_duplicates(frame(spark, rows), shingle=5).collect()))
+    assert got == near_duplicate_rows(rows, 5) and {r[0] for r in got if r[3]} == {5, 9}
 
 
-def test_hot_group_in_rounds(spark, monkeypatch):
-    """A chain of texts, each close to the next only: one component, though few are close to the root. With no comparison made at once, helpers and leaders
-    must find every link."""
-    monkeypatch.setattr(minhash, "FEW", 0)
-    monkeypatch.setattr(minhash, "SLACK", -(10**9))
+@pytest.mark.parametrize("block", [4, 512])
+def test_hot_groups(spark, monkeypatch, block):
+    """Large groups whose members share buckets but are not all close to one another: a chain, two sets of copies with words replaced, and texts that share
+    most of a form without being near. Cut into many cells or in one, they give what brute force gives."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rng = np.random.default_rng(5)
     words = [f"w{i}" for i in range(400)]
-    rows = [(i, " ".join(words[3 * i : 3 * i + 100])) for i in range(90)]
-    got = {r.component_id for r in minhash.near_duplicates(frame(spark, rows), shingle=5).collect()}
-    assert got == {0}
+    rows = [(i, " ".join(words[3 * i : 3 * i + 100])) for i in range(60)]
+    for k, edits in ((0, 4), (1, 9)):
+        base = [f"b{k}-{i}" for i in range(120)]
+        for i in range(60):
+            w = list(base)
+            for at_ in rng.integers(0, len(w), int(rng.integers(0, edits))):
+                w[at_] = f"e{rng.integers(3)}"
+            rows.append((1000 * (k + 1) + i, " ".join(w)))
+    got = Counter(map(tuple, minhash.near_duplicates(frame(spark, rows), shingle=5).collect()))
+    want = near_duplicate_rows(rows, 5)
+    assert got == want and len({r[2] for r in want if r[0] < 60}) == 1 and len({r[2] for r in want if r[0] >= 2000}) > 3
+
+
+def test_very_long_text(spark):
+    long_ = " ".join(f"v{i % 70001}" for i in range(300_000))
+    rows = [(1, long_), (2, long_ + " end"), (3, "w" * 2_000_000), (4, "w" * 2_000_000)]
+    assert [r.component_id for r in minhash.near_duplicates(frame(spark, rows)).orderBy("doc_id").collect()] == [1, 1, 3, 3]
 
 
 def test_estimate_counts_equal_low_bits(spark):

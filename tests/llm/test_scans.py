@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -249,6 +250,25 @@ def test_sharding(spark):
     assert sharding.shard(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_sharding_cuts_few_links(spark):
+    """Cut links counted as brute force counts them; where whole groups fit, none is cut; a hot group and hot null ids are spread."""
+    def cut(out):
+        own = [(r.text_crc32, r.size, r.shard) for r in out]
+        same = [(a, b) for k, a in enumerate(own) for b in own[:k] if a[:2] == b[:2]]
+        return len(same), sum(a[2] != b[2] for a, b in same)
+
+    rows = [(4 * g + k, f"group {g}") for g in range(3) for k in range(4)] + [(100 + k, f"own {k}") for k in range(4)]
+    placed = sharding.shard(frame(spark, rows), shards=4)
+    counted = sharding.cut_links(placed, ["text_crc32", "size"]).first()
+    assert tuple(map(int, counted)) == cut(placed.collect()) == (18, 0)
+    rows = [(None, "hot")] * 90 + [(1, "again")] * 30 + [(i, f"own {i}") for i in range(60)] + [(999, "long " * 400_000)]
+    clash = frame(spark, rows).selectExpr("*", "1 AS shard", "2 AS slot", "3 AS h", "4 AS bucket", "'x' AS law")
+    placed = sharding.shard(clash)
+    out = placed.collect()
+    assert tuple(map(int, sharding.cut_links(placed, ["text_crc32", "size"]).first())) == cut(out)
+    assert Counter(r.shard for r in out) == Counter({s: 22 + (s < 5) for s in range(8)}) and max(r.size for r in out) == 2_000_001
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(8)
     vectors = [(int(i), [float(x) for x in rng.normal(0, 1, 6)]) for i in range(300)]

@@ -1,8 +1,7 @@
-"""What the operators of this subpackage share: sizes of inputs, reliable checkpoints, spreading of ids."""
+"""What the operators of this subpackage share: sizes of inputs, tables in the shared folder, spreading of ids."""
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import uuid
@@ -29,35 +28,73 @@ def power_of_two(x: float, least: int, most: int = 1 << 30) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; one of its own only where it is unset, as in tests."""
+    """The shared folder that the cluster names. Only where it is unset and all is one machine, as in tests, a folder of its own."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at
     if spark.sparkContext.getCheckpointDir() is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(os.path.join(tempfile.gettempdir(), "wayfold-checkpoints"))
     return spark.sparkContext.getCheckpointDir()
 
 
-def tidy(spark: SparkSession) -> None:
-    """Lets Spark's cleaner remove what finished rounds leave: it learns of unused shuffles and checkpoints only when the driver collects garbage,
-    which a driver with a small heap and few objects does too late."""
-    gc.collect()
-    spark._jvm.System.gc()
+class Scratch:
+    """Named tables of one run in the shared folder, which survive lost executors and cut lineage. (A checkpoint would cut it too, but its frame keeps the size
+    estimates of the plan before it; those of joins are products, and over rounds they become numbers that planning cannot handle.) A table goes when it is dropped
+    or put anew, or when the block ends; a kept one goes with the driver."""
 
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root, self.paths = spark, f"{shared_dir(spark)}/wayfold-{name}-{uuid.uuid4().hex}", {}
+        self._fs(self.root)[0].deleteOnExit(self._fs(self.root)[1])
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts lineage by a table written in the shared folder. A checkpoint would do so too, but its frame keeps the size estimates of the plan before it;
-    those of joins are products, and over rounds of joins they become numbers of so many digits that planning takes minutes and the driver's memory."""
-    return stored(df, "cut")
+    def _fs(self, path: str) -> tuple:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.drop(*self.paths)
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        """Written as Parquet and read back; the table that had the name before goes afterwards."""
+        path, before = f"{self.root}/{name}-{uuid.uuid4().hex}", self.paths.get(name)
+        df.write.parquet(path)
+        self.paths[name] = path
+        if before:
+            self._delete(before)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _delete(self, path: str) -> None:
+        fs, at = self._fs(path)
+        fs.delete(at, True)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            self._delete(self.paths.pop(name))
+
+    def keep(self, name: str) -> None:
+        """The table stays when the block ends."""
+        self.paths.pop(name)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Written as Parquet in the shared folder and read back: for what is read more than once."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/wayfold-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    tidy(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    """Written as Parquet in the shared folder and read back, to stay until the driver ends: for what a result is read from."""
+    return Scratch(df.sparkSession, name).put(name, df)
+
+
+#: A broadcast may hold so many bytes of keys.
+BROADCAST_BYTES = 32 << 20
+
+
+def only_keys(df: DataFrame, keys: DataFrame, how: str, row_bytes: int = 24) -> DataFrame:
+    """`df` semi- or anti-joined with a stored table of keys, on all columns of it; null keys match nothing. Keys of a checked size are broadcast, so that wide
+    rows need no shuffle; beyond it the join is left to the optimizer."""
+    small = keys.count() * row_bytes <= BROADCAST_BYTES
+    return df.join(F.broadcast(keys) if small else keys, keys.columns, how)
 
 
 def block_of(column: Column | str, blocks: int) -> Column:

@@ -1,21 +1,22 @@
 """Near-duplicate groups by b-bit MinHash, confirmed on full shingle sets.
 
 One pass over the texts gives each document the number of its distinct shingles, a 128-bit identity of the shingle set, `bands`
-hashes of `rows` minima each, and a signature of the low `BITS` bits of every minimum. Documents with one set form a class, judged
-by its smallest doc_id. Classes that share a band are candidates; a pair goes on if the collision-corrected estimate from the count
-of equal low bits is not far (six standard deviations) under the threshold, and links if the full sets say so.
+hashes of `rows` minima each, and a signature of the low `BITS` bits of every minimum. Documents with one set form a class. Classes that share a band are
+candidates; a pair goes on if the collision-corrected estimate from the count of equal low bits is not far (six standard deviations) under the threshold,
+and links if the full sets say so.
 
 With 25 bands of 5 rows a pair at similarity 0.8 shares no band with probability (1 - 0.8^5)^25, about 5 in 100 000; more
 similar pairs are missed far more rarely.
 
-No bucket emits all its pairs. A bucket first compares its members with one root, in the first bands, then in the others where that has not joined
-them yet. If many members are still outside the root's component, they meet a few helpers out of it. Those that remain become leaders, compared with all
-members of other components: all at once if their comparisons are at most about four times the memberships, else a few a bucket, twice as many each round.
-A bucket is over when its members are in one component or have led, so no link between two components is overlooked, and what is skipped joins
-documents already joined.
+Candidates are compared where a bucket's members meet, and no pair is written out but those that join two groups. A bucket is cut into blocks by a hash, of
+about `BLOCK` members or `BLOCK_BYTES` of sets each, and a cell holds the members of two blocks: a hot bucket is many cells of one size, dealt over all tasks.
+In a cell, members take their turn as pivot, those of the rarest group first, and meet only members of other groups, so that
+a pivot that joins a large group takes it over whole. The first `FIRST` bands go first; their links make groups, and of the other bands only buckets that
+still hold two groups or more are compared. No link between two groups is overlooked, and what is skipped joins documents already joined.
 
-Cost: texts are read twice (once for signatures, once shuffled with the classes that share a bucket, for their sets). Bucket
-statistics are aggregated map-side; joins on a hot band or leader are plain equi-joins that adaptive execution splits.
+Cost: texts are read twice (once for signatures, once for the sets of classes that share a bucket). A set travels once for every bucket in which its class still
+meets another group, times the blocks of that bucket. Comparisons inside a bucket whose members do not join grow with the square of its size, in numpy over
+packed signatures; the rows written do not. All joins are plain equi-joins between stored tables, which adaptive execution splits where a key is hot.
 
 Defined cases: null or wordless text has n_shingles 0 and is linked with nothing; a null doc_id links with nothing, has a null
 component_id and is kept; rows that repeat a doc_id are judged each by their own text; extra columns are ignored; an
@@ -29,17 +30,17 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfold.llm import arrowtext as at
-from wayfold.llm.common import cut, stored
+from wayfold.llm.common import Scratch, only_keys
 from wayfold.llm.graph import components
 
 U64 = np.uint64
 BITS = 4
-FIRST_BANDS, HELPERS, HELPER_ROUNDS = 4, 8, 2
-FEW, SLACK = 2, 100_000  # comparisons a membership that need no helpers; comparisons that are made at once however few memberships there are
+FIRST, BLOCK, BLOCK_BYTES = 5, 512, 16 << 20
 _COLUMNS = 2048
 
 
@@ -67,6 +68,11 @@ def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
     return np.unique(at.window_hashes(hashes, min(n, len(hashes))))
 
 
+def identity(found: np.ndarray) -> tuple[int, int]:
+    """128 bits that name a set of shingles."""
+    return int(found.sum()), int(at.mix(found + U64(7)).sum())
+
+
 def minima(found: np.ndarray, plan: Plan) -> np.ndarray:
     out = np.full(plan.signature, np.iinfo(U64).max, U64)
     for i in range(0, len(found), _COLUMNS):
@@ -81,9 +87,9 @@ def _texts(df: DataFrame) -> DataFrame:
 
 
 def signatures(docs: DataFrame, plan: Plan) -> DataFrame:
-    """doc_id, n_shingles, set_a, set_b (identity of the set), bands array<long>, bits array<long> (16 low-bit groups each)."""
-    schema = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, bits array<long>"
-    arrow = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64())] + [(c, pa.list_(pa.int64())) for c in ("bands", "bits")])
+    """doc_id, text_hash, n_shingles, set_a, set_b (identity of the set), bands array<long>, bits array<long> (16 low-bit groups each)."""
+    schema = "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, bands array<long>, bits array<long>"
+    arrow = pa.schema([(c, pa.int64()) for c in ("doc_id", "text_hash", "n_shingles", "set_a", "set_b")] + [(c, pa.list_(pa.int64())) for c in ("bands", "bits")])
     places = (np.arange(16, dtype=U64) * U64(BITS))[None, :]
     salt = np.arange(plan.bands, dtype=U64) + U64(1)
     weights = (np.arange(plan.rows, dtype=U64) * U64(2) + U64(3))[None, :]
@@ -98,33 +104,38 @@ def signatures(docs: DataFrame, plan: Plan) -> DataFrame:
                 mine = shingles(found.hashes[found.first[i] : found.first[i + 1]], plan.shingle)
                 if not len(mine):
                     continue
-                counts[i], a[i], b[i] = len(mine), mine.sum(), at.mix(mine + U64(7)).sum()
+                counts[i], (a[i], b[i]) = len(mine), identity(mine)
                 low = minima(mine, plan)
                 grid = at.mix(low[: plan.bands * plan.rows].reshape(plan.bands, plan.rows)) * weights
                 bands[i] = at.mix(grid.sum(axis=1) + salt)
                 bits[i] = ((low & U64((1 << BITS) - 1)).reshape(-1, 16) << places).sum(axis=1, dtype=U64)
             lists = [pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * x.shape[1]), pa.array(x.reshape(-1).view(np.int64))) for x in (bands, bits)]
-            yield pa.RecordBatch.from_arrays([chunk.rows.column(0), pa.array(counts), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), *lists], schema=arrow)
+            yield pa.RecordBatch.from_arrays([chunk.rows.column(0), chunk.rows.column(2), pa.array(counts), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), *lists], schema=arrow)
 
-    return _texts(docs).mapInArrow(make, schema)
+    return _texts(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(make, schema)
 
 
 def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, shingles array<long> (sorted distinct hashes)."""
+    """set_a, set_b, shingles array<long> (sorted distinct hashes) of each document that has any."""
+    schema = "set_a long, set_b long, shingles array<long>"
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in at.chunks(batches, limit=2 << 20):
             found = at.words(chunk.data, chunk.offsets, at.FOLDED)
-            sets = [shingles(found.hashes[found.first[i] : found.first[i + 1]], n).view(np.int64) for i in range(chunk.rows.num_rows)]
-            cuts = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
-            column = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(sets)))
-            yield pa.RecordBatch.from_arrays([chunk.rows.column(0), column], names=["doc_id", "shingles"])
+            sets = [shingles(found.hashes[found.first[i] : found.first[i + 1]], n) for i in range(chunk.rows.num_rows)]
+            sets = [x for x in sets if len(x)]
+            if not sets:
+                continue
+            named = np.array([identity(x) for x in sets], U64).view(np.int64)
+            cuts = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
+            column = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(sets).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(named[:, 0]), pa.array(named[:, 1]), column], names=["set_a", "set_b", "shingles"])
 
-    return _texts(docs).mapInArrow(make, "doc_id long, shingles array<long>")
+    return _texts(docs).mapInArrow(make, schema)
 
 
 def estimate(x: Column, y: Column, signature: int) -> Column:
-    """Similarity from two bit signatures, corrected for low bits that agree by chance."""
+    """Similarity from two bit signatures, corrected for low bits that agree by chance, as a column; `Cell.estimates` does the same in numpy."""
     ones = int("1" * 16, 16)
 
     def differing(a: Column, b: Column) -> Column:
@@ -138,88 +149,150 @@ def estimate(x: Column, y: Column, signature: int) -> Column:
     return ((F.lit(1.0) - unequal / F.lit(float(signature))) - F.lit(chance)) / F.lit(1 - chance)
 
 
-def _linked(pairs: DataFrame, bits: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough. Each step is cut, which keeps the plans small."""
-    side = lambda d, at_: d.select(F.col("doc_id").alias(at_), F.col(d.columns[1]).alias(f"{d.columns[1]}_{at_}"))
-    near = pairs.join(side(bits, "b"), "b").join(side(bits, "a"), "a")
-    near = cut(near.where(estimate(F.col("bits_a"), F.col("bits_b"), plan.signature) >= plan.least_estimate()).select("a", "b"))
-    both = near.join(side(sets, "b"), "b").join(side(sets, "a"), "a")
-    common = F.size(F.array_intersect("shingles_a", "shingles_b")).cast("long")
-    whole = F.size("shingles_a") + F.size("shingles_b") - common
-    return cut(both.where(100 * common >= plan.percent * whole).select("a", "b"))
+def _places(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The members of the ranges, one after the other."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(int(counts.sum()))
+
+
+class Cell:
+    """The members of two blocks of a bucket, or of one."""
+
+    def __init__(self, rows: pa.Table, plan: Plan):
+        self.plan = plan
+        self.side, self.label = (np.asarray(rows.column(c), np.int64).copy() for c in ("side", "label"))
+        flat = lambda c: np.asarray(rows.column(c).combine_chunks().flatten(), np.int64)
+        self.bits = flat("bits").view(U64).reshape(rows.num_rows, -1)
+        self.codes = np.unique(flat("shingles"), return_inverse=True)[1]
+        self.count = np.asarray(pa.compute.list_value_length(rows.column("shingles")), np.int64)
+        self.first = np.cumsum(self.count) - self.count
+        self.flags = np.zeros(int(self.codes.max(initial=-1)) + 1, bool)
 
+    def estimates(self, p: int, others: np.ndarray) -> np.ndarray:
+        d = self.bits[others] ^ self.bits[p]
+        d |= d >> U64(2)
+        d |= d >> U64(1)
+        unequal = np.bitwise_count(d & U64(int("1" * 16, 16))).sum(axis=1)
+        chance = 2.0**-BITS
+        return (1 - unequal / self.plan.signature - chance) / (1 - chance)
+
+    def linked(self, p: int, others: np.ndarray) -> np.ndarray:
+        """Those of the others whose full sets are similar enough to the pivot's."""
+        others = others[self.estimates(p, others) >= self.plan.least_estimate()]
+        if not len(others):
+            return others
+        mine = self.codes[self.first[p] : self.first[p] + self.count[p]]
+        self.flags[mine] = True
+        counts = self.count[others]
+        common = np.add.reduceat(self.flags[self.codes[_places(self.first[others], counts)]], np.cumsum(counts) - counts, dtype=np.int64)
+        self.flags[mine] = False
+        return others[100 * common >= self.plan.percent * (len(mine) + counts - common)]
+
+    def joined(self) -> list[tuple[int, int]]:
+        """Pairs of labels that links join, none of them implied by those before it."""
+        out = []
+        two = len(np.unique(self.side)) > 1  # of two blocks, each one's own pairs meet in a cell of their own
+        size = np.unique(self.label, return_inverse=True, return_counts=True)
+        order = np.lexsort((self.label, size[2][size[1]]))
+        now = self.label.copy()
+        for k, p in enumerate(order):
+            rest = order[k + 1 :]
+            rest = rest[(now[rest] != now[p]) & (self.side[rest] != self.side[p])] if two else rest[now[rest] != now[p]]
+            if not len(rest):
+                continue
+            for label in np.unique(now[self.linked(p, rest)]):
+                out.append((int(now[p]), int(label)))
+                now[now == label] = now[p]
+            if (now == now[p]).all():
+                break
+        return out
+
+
+def _cells(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """The cells of a sorted stream, each whole."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        keys = np.stack([np.asarray(batch.column(batch.schema.get_field_index(c)), np.int64) for c in names])
+        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            if i == j:
+                continue
+            key = keys[:, i].tolist()
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(batch.slice(i, j - i))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _compared(members: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
+    """(a, b): labels that links between members (band, cid, label, blocks) join, cell by cell."""
+    key = ["band", "low", "high"]
+
+    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _cells(batches, key):
+            found = np.array(Cell(rows, plan).joined(), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+    block = F.pmod(F.xxhash64("cid"), F.col("blocks"))
+    dealt = members.withColumn("side", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("band", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "label", "cid")
+    whole = dealt.join(sets, "cid").select(*key, "side", "label", "bits", "shingles")
+    return whole.repartition(*key).sortWithinPartitions(*key).mapInArrow(make, "a long, b long")
 
-def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels after the links: components of the graph whose nodes are the labels so far."""
-    a = labels.select(F.col("rep").alias("a"), F.col("label").alias("la"))
-    b = labels.select(F.col("rep").alias("b"), F.col("label").alias("lb"))
-    edges = cut(links.join(a, "a").join(b, "b").where("la <> lb").select("la", "lb").distinct())
-    if edges.isEmpty():
-        return labels
-    merged = components(edges, "la", "lb").withColumnRenamed("label", "further")
-    return cut(labels.join(merged, labels.label == merged.node, "left").select("rep", F.coalesce("further", "label").alias("label")))
+
+def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    return members.withColumn("label", F.col("cid")) if labels is None else members.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, **more: int) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (doc_id = component_id)."""
+    return verdicts(docs, shingle, threshold, **more).drop("text_hash")
+
+
+def verdicts(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, **more: int) -> DataFrame:
+    """As near_duplicates, with text_hash (xxhash64 of the text): doc_id and text decide on a row."""
     plan = Plan(shingle, threshold, **more)
-    sigs = stored(signatures(docs, plan), "minhash")
-    usable = sigs.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = stored(usable.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("bits").alias("bits")), "classes")
-    spread = classes.select("rep", F.posexplode("bands").alias("at", "band"))
-    order = F.struct(F.xxhash64("rep").alias("h"), F.col("rep"))
-    roots = spread.groupBy("band").agg(F.count("*").alias("size"), F.min(order).alias("root")).where("size > 1")
-    buckets = stored(spread.join(roots, "band").select("at", "band", "rep", "size", F.xxhash64("rep").alias("h"), F.col("root.rep").alias("root")), "buckets")
-    reps = cut(buckets.groupBy("rep").count().select("rep"))
-    labels = reps.select("rep", F.col("rep").alias("label"))
-    bits = classes.join(reps, "rep", "left_semi").select(F.col("rep").alias("doc_id"), "bits")
-    mine = _texts(docs).join(reps.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
-    sets = stored(shingle_sets(mine, plan.shingle).dropDuplicates(["doc_id"]), "sets")
-
-    def compare(pairs: DataFrame) -> None:
-        nonlocal labels
-        labels = _relabel(labels, _linked(cut(pairs.distinct()), bits, sets, plan))
-
-    compare(buckets.where(f"rep <> root AND at < {FIRST_BANDS}").select(F.col("root").alias("a"), F.col("rep").alias("b")))
-    rest = buckets.where(f"rep <> root AND at >= {FIRST_BANDS}").select(F.col("root").alias("a"), F.col("rep").alias("b")).distinct()
-    sides = [labels.select(F.col("rep").alias(c), F.col("label").alias(f"l{c}")) for c in "ab"]
-    compare(rest.join(sides[0], "a").join(sides[1], "b").where("la <> lb").select("a", "b"))
-
-    open_ = buckets.where("size > 2").select("band", "rep", "size", "h", "root", (F.col("rep") == F.col("root")).alias("led"))
-    step, members = 0, buckets.count()
-    bound = 4 * members + SLACK
-    while True:
-        named = cut(open_.join(labels, "rep"))
-        mains = named.groupBy("band").agg(F.max(F.when(F.col("rep") == F.col("root"), F.col("label"))).alias("main"), F.min("label").alias("low"), F.max("label").alias("high"))
-        waits = (F.col("label") != F.col("main")) & ~F.col("led")
-        open_ = cut(named.join(mains.where("low <> high").select("band", "main"), "band").withColumn("waits", waits))
-        counts = open_.where("waits").groupBy("band").agg(F.count("*").alias("waiting"))
-        todo = open_.where("waits").agg(F.sum(F.col("size").cast("double"))).first()[0] or 0
-        if not todo:
-            break
-        waiting = open_.where("waits").select("band", F.col("rep").alias("a"))
-        if todo > FEW * members and step < HELPER_ROUNDS:
-            step += 1
-            chosen = F.pmod(F.xxhash64("h", F.lit(step)), F.greatest(F.lit(1), F.floor(F.col("size") / HELPERS))) == 0
-            helpers = open_.where((F.col("label") == F.col("main")) & chosen).select("band", F.col("rep").alias("b"))
-            compare(waiting.join(helpers, "band").select("a", "b"))
-            open_ = open_.select("band", "rep", "size", "h", "root", "led")
-            continue
-        # leaders: all if there are few, else about four a bucket, doubled every round
-        step += 1
-        share = 1 if todo <= bound else 4 << max(0, step - HELPER_ROUNDS)
-        leads = F.lit(True) if todo <= bound else F.pmod(F.xxhash64("h", F.lit(step)), F.ceil(F.col("waiting") / share)) == 0
-        open_ = cut(open_.join(counts, "band").withColumn("leads", F.col("waits") & leads))
-        leaders = open_.where("leads").select("band", F.col("rep").alias("a"), F.col("label").alias("lead_label"))
-        others = open_.where("NOT led").select("band", F.col("rep").alias("b"), "label", "leads")
-        met = others.join(leaders, "band").where("label <> lead_label AND (NOT leads OR a < b)")
-        compare(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-        if todo <= bound:
-            break
-        open_ = open_.select("band", "rep", "size", "h", "root", (F.col("led") | F.col("leads")).alias("led"))
-
-    named = classes.select("set_a", "set_b", "rep").join(labels, "rep", "left").select("set_a", "set_b", F.coalesce("label", "rep").alias("component"))
-    out = sigs.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    component = F.when(F.col("doc_id").isNotNull(), component)
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    with Scratch(docs.sparkSession, "near-dedup") as scratch:
+        sigs = scratch.put("signatures", signatures(docs, plan))
+        usable = sigs.where("doc_id IS NOT NULL AND n_shingles > 0")
+        classes = usable.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
+        classes = scratch.put("classes", classes.withColumn("cid", F.monotonically_increasing_id()))
+        labels = _labels(docs, classes, plan, scratch)
+        named = classes.select("set_a", "set_b", "cid", "rep").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+        least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
+        named = scratch.put("named", named.select("set_a", "set_b", "label").join(least, "label").drop("label"))
+        narrow = ["doc_id", "text_hash", "n_shingles", "set_a", "set_b"]
+        grouped = usable.select(narrow).join(named, ["set_a", "set_b"])
+        alone = sigs.where("doc_id IS NULL OR n_shingles = 0").select(narrow).withColumn("component_id", F.col("doc_id"))
+        out = grouped.select(alone.columns).unionByName(alone)
+        kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+        out = scratch.put("verdicts", out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "text_hash"))
+        scratch.keep("verdicts")
+        return out
+
+
+def _labels(docs: DataFrame, classes: DataFrame, plan: Plan, scratch: Scratch) -> DataFrame:
+    """(cid, label): groups of linked classes; a class without links may be left out."""
+    spread = classes.select("cid", "n", F.posexplode("bands").alias("at", "band"))
+    sizes = spread.groupBy("band").agg(F.count("*").alias("size"), F.sum("n").alias("all")).where("size > 1")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("all") * 8 / BLOCK_BYTES)).cast("long")
+    sizes = scratch.put("sizes", sizes.select("band", blocks.alias("blocks")))
+    members = scratch.put("members", spread.select("cid", "at", "band").join(sizes, "band"))
+    met = scratch.put("met", members.select("cid").distinct().join(classes.select("cid", "set_a", "set_b", "rep", "bits"), "cid"))
+    reps = scratch.put("reps", met.select(F.col("rep").alias("doc_id")).distinct())
+    sets = shingle_sets(only_keys(_texts(docs), reps, "left_semi", 8), plan.shingle).dropDuplicates(["set_a", "set_b"])
+    sets = scratch.put("sets", met.select("cid", "set_a", "set_b", "bits").join(sets, ["set_a", "set_b"]).select("cid", "bits", "shingles"))
+    scratch.drop("sizes", "met", "reps")
+
+    pairs = scratch.put("pairs", _compared(_labelled(members.where(f"at < {FIRST}"), None), sets, plan))
+    labels = components(pairs, scratch=scratch, name="first").withColumnRenamed("node", "cid")
+    named = scratch.put("named-members", _labelled(members.where(f"at >= {FIRST}"), labels).select("band", "cid", "label", "blocks"))
+    open_ = scratch.put("open", named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band"))
+    pairs = scratch.put("pairs", _compared(named.join(open_, "band"), sets, plan))
+    scratch.drop("sets", "members", "named-members", "open")
+    merged = components(pairs, scratch=scratch, name="merged").withColumnRenamed("label", "further")
+    every = labels.unionByName(merged.select(F.col("node").alias("cid"), F.col("node").alias("label"))).groupBy("cid").agg(F.min("label").alias("label"))
+    return scratch.put("labels", every.join(merged, every.label == merged.node, "left").select("cid", F.coalesce("further", "label").alias("label")))

@@ -2,14 +2,15 @@
 
 Documents of one group (by default: of equal text) are linked. Linked documents start spread evenly. In each round every group counts its
 members by shard (map-side first), its members want to go where most of it is, and moves are let through under quotas: swaps between two shards
-always, further moves as far as the target has room, whole groups before parts of others. Sizes thus never pass a shard's share. Rounds end when nothing
-moves. Unlinked documents then fill every shard to its share exactly: counts are at most one apart.
+always, further moves as far as the target has room, whole groups before parts of others. Sizes thus never pass a shard's share. Every move brings a member
+to where most of its group is, so that each round lowers the number of cut links (`cut_links`), and rounds go on until no move passes. Unlinked documents then fill
+every shard to its share exactly: counts are at most one apart.
 
 Ranks and slots come from counts by hash bucket and row numbers inside buckets of about a thousand rows, so no window sees a whole shard, however hot
 a group is. A group larger than a shard's share is split over shards. The driver sees a flow matrix of shards x shards counts.
 
-Defined cases: null text has size 1 and CRC 0, and equals the empty text in its group; rows with a null or repeated doc_id are placed each; extra
-columns are ignored; an empty table gives no rows.
+Defined cases: null text has size 1 and CRC 0, and equals the empty text in its group; rows with a null or repeated doc_id are placed each (those with a null
+doc_id are spread by their place in the table); extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wayfold.llm.common import cut, power_of_two, stored
+from wayfold.llm.common import Scratch, power_of_two
 
 FAN = 1024
 
@@ -64,46 +65,55 @@ def measured(docs: DataFrame) -> DataFrame:
     )
 
 
-def shard(docs: DataFrame, shards: int = 8, rounds: int = 6) -> DataFrame:
+def cut_links(placed: DataFrame, by: list[str]) -> DataFrame:
+    """links and cut_links, one row: pairs of rows that share a group (columns `by`), and those of them that lie in two shards. Counted, never written out."""
+    inside = placed.groupBy(*by, "shard").agg(F.count("*").cast("decimal(38,0)").alias("n"))
+    pairs = lambda n: n * (n - 1) / 2
+    groups = inside.groupBy(*by).agg(F.sum("n").alias("all"), F.sum(pairs(F.col("n"))).alias("within"))
+    total = groups.agg(F.sum(pairs(F.col("all"))).alias("links"), F.sum("within").alias("within"))
+    whole = lambda c: F.coalesce(c, F.lit(0)).cast("decimal(38,0)")
+    return total.select(whole(F.col("links")).alias("links"), whole(F.col("links") - F.col("within")).alias("cut_links"))
+
+
+def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
     """doc_id, size, text_crc32, law ('rows'), shard, slot (gapless from 0 in each shard), grown_shard (null under this law)."""
-    rows = stored(measured(docs), "measured")
-    n = rows.count()
-    share = [n // shards + (s < n % shards) for s in range(shards)]
-    buckets = power_of_two(n / 1000, 16)
-    order = ["h", "doc_id", "text_crc32", "size"]
-    rows = rows.withColumn("h", F.xxhash64("doc_id", "text_crc32")).withColumn("bucket", F.pmod("h", F.lit(buckets)))
-    groups = rows.groupBy("g1", "g2").agg(F.count("*").alias("members")).where("members > 1")
-    linked = rows.join(groups, ["g1", "g2"])
-    linked = cut(ranked(linked, [], "bucket", order, "at").withColumn("shard", (F.col("at") % shards).cast("int")).drop("at"))
-    for _ in range(rounds):
-        votes = linked.groupBy("g1", "g2", "shard").agg(F.count("*").alias("n"))
-        tie = F.pmod(F.xxhash64("g1", "shard"), F.lit(1 << 20))
-        wants = votes.groupBy("g1", "g2").agg(F.max_by("shard", F.struct("n", tie)).alias("want"))
-        state = cut(linked.join(wants, ["g1", "g2"]))
-        flow, load = {}, [0] * shards
-        for r in state.groupBy("shard", "want").count().collect():  # at most shards x shards rows
-            load[r.shard] += r["count"]
-            if r.shard != r.want:
-                flow[r.shard, r.want] = r["count"]
-        passed = quotas(flow, [c - x for c, x in zip(share, load, strict=True)])
-        if not sum(passed.values()):
-            break
-        state = state.withColumn("move", F.col("shard") * shards + F.col("want"))
-        movers = state.where("shard <> want").withColumn("together", F.pmod("g1", F.lit(64)) * buckets + F.col("bucket"))
-        movers = ranked(movers, ["move"], "together", order, "at")
-        allowed = _pick({s * shards + t: q for (s, t), q in passed.items()}, F.col("move"))
-        moved = movers.withColumn("shard", F.when(F.col("at") < allowed, F.col("want")).otherwise(F.col("shard"))).select(linked.columns)
-        linked = cut(state.where("shard = want").select(linked.columns).unionByName(moved))
-    load = [0] * shards
-    for r in linked.groupBy("shard").count().collect():
-        load[r.shard] = r["count"]
-    single = rows.join(groups.select("g1", "g2"), ["g1", "g2"], "left_anti")
-    single = ranked(single, [], "bucket", order, "at")
-    to, end = F.lit(shards - 1), sum(share) - sum(load)
-    for s in range(shards - 1, -1, -1):
-        to = F.when(F.col("at") < end, F.lit(s)).otherwise(to)
-        end -= share[s] - load[s]
-    keep = ["doc_id", "size", "text_crc32", "h", "bucket", "shard"]
-    placed = cut(single.withColumn("shard", to.cast("int")).select(keep).unionByName(linked.select(keep)))
+    with Scratch(docs.sparkSession, "shards") as scratch:
+        rows = scratch.put("measured", measured(docs).withColumn("row", F.monotonically_increasing_id()))
+        n = rows.count()
+        share = [n // shards + (s < n % shards) for s in range(shards)]
+        buckets = power_of_two(n / 1000, 16)
+        order = ["h", "doc_id", "text_crc32", "size"]
+        rows = rows.withColumn("h", F.xxhash64(F.coalesce("doc_id", F.col("row")), "text_crc32")).drop("row").withColumn("bucket", F.pmod("h", F.lit(buckets)))
+        groups = scratch.put("groups", rows.groupBy("g1", "g2").agg(F.count("*").alias("members")).where("members > 1"))
+        linked = rows.join(groups, ["g1", "g2"])
+        linked = scratch.put("linked", ranked(linked, [], "bucket", order, "at").withColumn("shard", (F.col("at") % shards).cast("int")).drop("at"))
+        while True:
+            votes = linked.groupBy("g1", "g2", "shard").agg(F.count("*").alias("n"))
+            tie = F.pmod(F.xxhash64("g1", "shard"), F.lit(1 << 20))
+            wants = scratch.put("wants", votes.groupBy("g1", "g2").agg(F.max_by("shard", F.struct("n", tie)).alias("want")))
+            state = scratch.put("state", linked.join(wants, ["g1", "g2"]))
+            flow, load = {}, [0] * shards
+            for r in state.groupBy("shard", "want").count().collect():  # at most shards x shards rows
+                load[r.shard] += r["count"]
+                if r.shard != r.want:
+                    flow[r.shard, r.want] = r["count"]
+            passed = quotas(flow, [c - x for c, x in zip(share, load, strict=True)])
+            if not sum(passed.values()):
+                break
+            state = state.withColumn("move", F.col("shard") * shards + F.col("want"))
+            movers = state.where("shard <> want").withColumn("together", F.pmod("g1", F.lit(64)) * buckets + F.col("bucket"))
+            movers = ranked(movers, ["move"], "together", order, "at")
+            allowed = _pick({s * shards + t: q for (s, t), q in passed.items()}, F.col("move"))
+            moved = movers.withColumn("shard", F.when(F.col("at") < allowed, F.col("want")).otherwise(F.col("shard"))).select(linked.columns)
+            linked = scratch.put("linked", state.where("shard = want").select(linked.columns).unionByName(moved))
+        single = rows.join(groups.select("g1", "g2"), ["g1", "g2"], "left_anti")
+        single = ranked(single, [], "bucket", order, "at")
+        to, end = F.lit(shards - 1), sum(share) - sum(load)
+        for s in range(shards - 1, -1, -1):
+            to = F.when(F.col("at") < end, F.lit(s)).otherwise(to)
+            end -= share[s] - load[s]
+        keep = ["doc_id", "size", "text_crc32", "h", "bucket", "shard"]
+        placed = scratch.put("placed", single.withColumn("shard", to.cast("int")).select(keep).unionByName(linked.select(keep)))
+        scratch.keep("placed")
     out = ranked(placed, ["shard"], "bucket", order, "slot")
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"))
