@@ -7,8 +7,8 @@ lists, so that a window with a term that the segment lacks costs one look-up. `p
 window, in order, within some slack; the contract's columns are exact ones, and `near_matches` returns these.
 
 Cost: texts are read once; only postings of test terms are stored; no shuffle. A benchmark is taken in blocks of at most `BLOCK` bytes of
-text, each small enough for every task; with more than one block the index holds all terms and is searched once a block, and the
-blocks' matches are merged by segment.
+text, items whole, each small enough for every task (a window takes about 110 bytes, so a block some 60 MB); with more than one block the index holds all terms and
+is searched once a block, and the blocks' matches are merged by segment. The matches of one and of several blocks are the same.
 
 Defined cases: null text has no words (n_words 0, no hits); a null item_id counts for hits but not among the items; repeated items count
 once; repeated documents are judged each; extra columns are ignored; without items nothing is contaminated.
@@ -28,11 +28,11 @@ from wayfold.llm import arrowtext as at
 from wayfold.llm.common import stored
 
 U64 = np.uint64
-BLOCK = 16 << 20
-_SEGMENT = "segment string, docs int, ids binary, known binary, first binary, terms binary, cuts binary, positions binary"
-_SEGMENT_ARROW = pa.schema([("segment", pa.string()), ("docs", pa.int32())] + [(c, pa.binary()) for c in ("ids", "known", "first", "terms", "cuts", "positions")])
-_FOUND = "segment string, doc int, doc_id long, n_words long, hits binary, items array<long>"
-_FOUND_ARROW = pa.schema([("segment", pa.string()), ("doc", pa.int32()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("hits", pa.binary()), ("items", pa.list_(pa.int64()))])
+BLOCK = 2 << 20
+_SEGMENT = "segment string, docs int, ids binary, known binary, marks binary, first binary, terms binary, cuts binary, positions binary"
+_SEGMENT_ARROW = pa.schema([("segment", pa.string()), ("docs", pa.int32())] + [(c, pa.binary()) for c in ("ids", "known", "marks", "first", "terms", "cuts", "positions")])
+_FOUND = "segment string, doc int, doc_id long, text_hash long, n_words long, hits binary, items array<long>"
+_FOUND_ARROW = pa.schema([("segment", pa.string()), ("doc", pa.int32()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_words", pa.int64()), ("hits", pa.binary()), ("items", pa.list_(pa.int64()))])
 
 
 def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None) -> DataFrame:
@@ -49,12 +49,13 @@ def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None) -> DataFr
             order = np.argsort(which.astype(np.uint16) if len(names) < 1 << 16 else which, kind="stable")
             cuts = np.concatenate(([0], np.cumsum(np.bincount(which, minlength=len(names))))).astype(np.int32)
             column = chunk.rows.column(0)
-            cells = [np.asarray(column.fill_null(0), np.int64), np.asarray(column.is_valid()).astype(np.uint8), found.first.astype(np.int32), names, cuts, positions[order]]
+            cells = [np.asarray(column.fill_null(0), np.int64), np.asarray(column.is_valid()).astype(np.uint8), np.asarray(chunk.rows.column(2), np.int64), found.first.astype(np.int32), names, cuts, positions[order]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([uuid.uuid4().hex]), pa.array([chunk.rows.num_rows], pa.int32()), *(pa.array([c.tobytes()], pa.binary()) for c in cells)], schema=_SEGMENT_ARROW
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     return stored(texts.mapInArrow(make, _SEGMENT), "postings")
 
 
@@ -74,23 +75,23 @@ class Windows:
     """Distinct windows of some items: terms (one row each, padded with 0), lengths, and the items that hold them."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], n: int):
-        rows: dict[bytes, set[int]] = {}
-        lengths: dict[bytes, int] = {}
-        for item, text in items:
-            raw = np.frombuffer((text or "").encode(), np.uint8)
-            terms = at.words(raw, np.array([0, len(raw)]), at.ALNUM).hashes
-            size = min(n, len(terms))
-            for i in range(len(terms) - size + 1 if size else 0):
-                key = terms[i : i + size].tobytes()
-                lengths[key] = size
-                rows.setdefault(key, set()).update(() if item is None else (item,))
-        self.n = n
-        self.lengths = np.array(list(lengths.values()), np.int64)
-        self.terms = np.zeros((len(rows), n), U64)
-        for i, key in enumerate(rows):
-            self.terms[i, : lengths[key]] = np.frombuffer(key, U64)
-        self.item_cuts = np.concatenate(([0], np.cumsum([len(x) for x in rows.values()]))).astype(np.int64)
-        self.items = np.array([i for x in rows.values() for i in sorted(x)], np.int64)
+        raw = [(text or "").encode() for _, text in items]
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        found = at.words(data, np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64), at.ALNUM)
+        counts = found.counts()
+        short = np.flatnonzero((counts > 0) & (counts < n))
+        starts = np.concatenate((at.window_starts(found.first, n), found.first[:-1][short]))
+        lengths = np.concatenate((np.full(len(starts) - len(short), n), counts[short]))
+        used = np.arange(n)[None, :] < lengths[:, None]
+        rows = np.zeros((len(starts), n + 1), U64)
+        rows[:, :n][used] = found.hashes[(starts[:, None] + np.arange(n))[used]]
+        rows[:, n] = lengths
+        rows, which = np.unique(rows, axis=0, return_inverse=True)
+        owner = np.searchsorted(found.first, starts, "right") - 1
+        known = np.array([i is not None for i, _ in items], bool)[owner]
+        held = np.unique(np.stack((which.reshape(-1)[known], np.array([i or 0 for i, _ in items], np.int64)[owner][known])), axis=1)
+        self.n, self.terms, self.lengths = n, np.ascontiguousarray(rows[:, :n]), rows[:, n].astype(np.int64)
+        self.item_cuts, self.items = np.searchsorted(held[0], np.arange(len(rows) + 1)), held[1]
         used = np.arange(n)[None, :] < self.lengths[:, None]
         self.vocabulary = np.unique(self.terms[used])
 
@@ -101,7 +102,7 @@ class Segment:
     def __init__(self, row: dict):
         cell = lambda c, kind: np.frombuffer(row[c], kind)
         self.name, self.docs = row["segment"], row["docs"]
-        self.ids, self.known, self.first = cell("ids", np.int64), cell("known", np.uint8).astype(bool), cell("first", np.int32).astype(np.int64)
+        self.ids, self.known, self.marks, self.first = cell("ids", np.int64), cell("known", np.uint8).astype(bool), cell("marks", np.int64), cell("first", np.int32).astype(np.int64)
         self.terms, self.cuts, self.positions = cell("terms", U64), cell("cuts", np.int32).astype(np.int64), cell("positions", np.int32).astype(np.int64)
         ranks = np.repeat(np.arange(len(self.terms)), np.diff(self.cuts))
         self.keys = (ranks << 32) | self.positions  # ascending: membership in a posting list is a binary search
@@ -189,7 +190,7 @@ def phrases(index: DataFrame, windows: Windows) -> DataFrame:
                 any_hit = np.add.reduceat(np.append(hit, False), np.minimum(s.first[:-1], len(hit))) * (np.diff(s.first) > 0)
                 bits = [np.packbits(hit[a:b]).tobytes() if n else b"" for a, b, n in zip(s.first[:-1].tolist(), s.first[1:].tolist(), any_hit.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([s.name] * s.docs), pa.array(np.arange(s.docs, dtype=np.int32)), pa.array(s.ids, mask=~s.known), pa.array(np.diff(s.first))]
+                    [pa.array([s.name] * s.docs), pa.array(np.arange(s.docs, dtype=np.int32)), pa.array(s.ids, mask=~s.known), pa.array(s.marks), pa.array(np.diff(s.first))]
                     + [pa.array(bits, pa.binary()), pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(item))],
                     schema=_FOUND_ARROW,
                 )
@@ -325,20 +326,20 @@ def item_blocks(benchmark: DataFrame, n: int, block: int = BLOCK) -> Iterator[Wi
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, n: int = 13, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_words, hits (packed bits of the words inside any occurrence of a window), items (item_ids, sorted)."""
+    """doc_id, text_hash (xxhash64 of the text), n_words, hits (packed bits of the words inside any occurrence of a window), items (item_ids, sorted)."""
     blocks = list(item_blocks(benchmark, n, block))
     index = build_index(docs, blocks[0].vocabulary if len(blocks) == 1 else None)
     found = phrases(index, blocks[0])
     for windows in blocks[1:]:
         found = found.unionByName(phrases(index, windows))
-    return (found if len(blocks) == 1 else _merge_blocks(found)).select("doc_id", "n_words", "hits", "items")
+    return (found if len(blocks) == 1 else _merge_blocks(found)).select("doc_id", "text_hash", "n_words", "hits", "items")
 
 
-def digest(found: DataFrame) -> DataFrame:
-    """Counts and the contamination rule: hit words make a twentieth of all words or more."""
+def judged(found: DataFrame) -> DataFrame:
+    """Counts and the contamination rule: hit words make a twentieth of all words or more. With text_hash: doc_id and text decide on a row."""
     n_hit = _ones("hits")
     listed = F.array_join(F.sort_array(F.transform("items", lambda i: i.cast("string"))), ",")
-    out = found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"))
+    out = found.select("doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(listed, 256).alias("items_sha256"))
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
@@ -351,5 +352,9 @@ def _ones(column: str):
     return F.when(F.length(column) > 0, total).otherwise(F.lit(0)).cast("long")
 
 
+def digest(found: DataFrame) -> DataFrame:
+    return judged(found).drop("text_hash")
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
     return digest(matches(docs, benchmark, n))

@@ -4,7 +4,8 @@ Documents are dealt by a hash of doc_id to groups of at most about `GROUP` piece
 the bitmap of its sources and the set bits of its duplicate clusters; a piece fits a bin with room enough that holds neither its source nor, from another
 document, its cluster. Bins are kept in residual order: a tree over residual capacities holds, at each node, the AND of the source
 bitmaps below, so that the search for the successor skips in one step whole ranges whose bins all hold the source, and goes on from residual to
-residual until the tightest compatible bin is found. Only if there is none, a bin is opened.
+residual until the tightest compatible bin is found. Only if there is none, a bin is opened. Pieces of one cluster have one size and follow one another; bins that
+got one of them wait outside the order until the last is placed, so that a large cluster does not search among its own bins.
 
 A text longer than the capacity is cut: full pieces fill bins of their own, and the rest is packed like any other piece. Nothing
 is dropped. Sizes are numbers of words (runs without ASCII white space).
@@ -13,7 +14,7 @@ Cost: texts are read once for sizes and cluster hashes; rows of 50 bytes are shu
 source or cluster is spread over all groups by the hash of doc_id; conflicts cost bins, not time.
 
 Defined cases: null or wordless text has size 0: one piece of 0 words in a bin like any other; a null source conflicts with nothing; a null doc_id
-is packed with key 0; rows that repeat a doc_id are packed each; equal sizes go by doc_id, then row content; extra columns are ignored; an empty table
+is packed with key 0; rows that repeat a doc_id are packed each; equal sizes go by cluster, doc_id, then source; extra columns are ignored; an empty table
 gives no rows.
 """
 
@@ -45,6 +46,8 @@ class Bins:
         self.sources: list[int] = []
         self.clusters: list[int] = []
         self.residual: list[int] = []
+        self.waiting: list[int] = []  # bins that hold the cluster at hand
+        self.cluster = 0
 
     def _refresh(self, residual: int) -> None:
         total = self.none
@@ -85,7 +88,17 @@ class Bins:
         self.at[self.residual[b]].setdefault(self.sources[b], []).append(b)
         self._refresh(self.residual[b])
 
+    def _settle(self, b: int, cluster: int) -> None:
+        if cluster:
+            self.waiting.append(b)
+        else:
+            self._enter(b)
+
     def place(self, size: int, source: int, cluster: int) -> int:
+        if cluster != self.cluster:
+            for b in self.waiting:
+                self._enter(b)
+            self.waiting, self.cluster = [], cluster
         residual = self._successor(size, source)
         while residual >= 0:
             for bitmap, bins in self.at[residual].items():
@@ -101,14 +114,14 @@ class Bins:
                         self.residual[b] -= size
                         self.sources[b] |= source
                         self.clusters[b] |= cluster
-                        self._enter(b)
+                        self._settle(b, cluster)
                         return b
             residual = self._successor(residual + 1, source)
         b = len(self.residual)
         self.residual.append(self.capacity - size)
         self.sources.append(source)
         self.clusters.append(cluster)
-        self._enter(b)
+        self._settle(b, cluster)
         return b
 
 
@@ -155,7 +168,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataF
             whole += [(i, p, capacity) for p in range(full)]
             if size - full * capacity or not full:
                 rest.append((i, full, size - full * capacity))
-        rest.sort(key=lambda x: (-x[2], ids[x[0]] is None, ids[x[0]] or 0, clusters[x[0]], sources[x[0]] or ""))
+        rest.sort(key=lambda x: (-x[2], clusters[x[0]], ids[x[0]] is None, ids[x[0]] or 0, sources[x[0]] or ""))
         bins = Bins(capacity)
         placed = [(i, p, n, bins.place(n, bit_of.get(sources[i], 0), cluster_bit.get(clusters[i], 0))) for i, p, n in rest]
         used, position = [capacity - r for r in bins.residual], [0] * len(bins.residual)

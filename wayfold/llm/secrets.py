@@ -2,8 +2,8 @@
 
 Base patterns stand on their own. Beside them a text holds weak parts: access identifiers (client ids, user names, short or foreign key ids), secrets (short
 or unnamed values, mixed random strings) and endpoints (URLs, hosts with a port, bucket names). A weak part is reported only if
-complementary parts lie in its scope: the paragraph, and at most `REACH` characters apart. The interval join of the parts is a search in sorted positions, so a text
-with many parts costs n log n and no pair is written out.
+complementary parts lie in its scope: apart from it by at most `REACH` characters and no paragraph break. The interval join of the parts is a search in sorted
+positions, so a text with many parts costs n log n and no pair is written out.
 
     a weak secret       needs an identifier (weak, or a base access key) in its scope
     a weak identifier   needs a secret (weak, or a base assignment or hex string) and an endpoint or an assignment sign of its own name
@@ -70,39 +70,45 @@ def weak_parts(text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]],
     return idents, secrets, [m.span() for m in _ENDPOINT.finditer(text)]
 
 
-def _scope(spans: list[tuple[int, int]], breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted starts, ends, and the paragraph of each."""
-    a = np.array(sorted(spans), np.int64).reshape(-1, 2)
-    return a[:, 0], a[:, 1], np.searchsorted(breaks, a[:, 0])
-
-
 def joined(left: list[tuple[int, int]], right: list[tuple[int, int]], breaks: np.ndarray) -> np.ndarray:
-    """Which of the sorted `left` intervals have a `right` one in their paragraph, apart from themselves, within REACH."""
-    ls, le, lp = _scope(left, breaks)
-    rs, re_, rp = _scope(right, breaks)
-    if not len(rs) or not len(ls):
-        return np.zeros(len(ls), bool)
-    # the nearest that starts after this one ends, and the one that ends last among those starting before it
-    after = np.searchsorted(rs, le, "left")
-    ok = after < len(rs)
+    """Which of the `left` intervals have a `right` one in their scope: before or after them, within REACH, and no break between. The nearest on either side decides,
+    since a break or a distance that parts it parts all beyond it."""
+    ls, le = np.array(left, np.int64).reshape(-1, 2).T
+    starts, ends = np.sort(np.array(right, np.int64).reshape(-1, 2), axis=0).T
     near = np.zeros(len(ls), bool)
-    near[ok] = (rs[after[ok]] - le[ok] <= REACH) & (rp[after[ok]] == lp[ok])
-    last_end = np.maximum.accumulate(re_)
-    before = np.searchsorted(rs, ls, "left") - 1
-    ok = before >= 0
-    near[ok] |= (ls[ok] - last_end[before[ok]] <= REACH) & (last_end[before[ok]] <= ls[ok]) & (rp[before[ok]] == lp[ok])
+
+    def close(which: np.ndarray, low: np.ndarray, high: np.ndarray) -> None:
+        near[which] |= (high - low <= REACH) & (np.searchsorted(breaks, low) == np.searchsorted(breaks, high))
+
+    after = np.searchsorted(starts, le)
+    some = np.flatnonzero(after < len(starts))
+    close(some, le[some], starts[after[some]])
+    before = np.searchsorted(ends, ls, "right") - 1
+    some = np.flatnonzero(before >= 0)
+    close(some, ends[before[some]], ls[some])
     return near
 
 
+def clear(spans: list[tuple[int, int]], of: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The distinct spans, sorted, that overlap none of `of`."""
+    mine = np.unique(np.array(spans, np.int64).reshape(-1, 2), axis=0)
+    others = np.array(sorted(of), np.int64).reshape(-1, 2)
+    if len(mine) and len(others):
+        reach = np.maximum.accumulate(others[:, 1])  # of those that start before a span ends, the furthest end
+        at_ = np.searchsorted(others[:, 0], mine[:, 1]) - 1
+        mine = mine[(at_ < 0) | (reach[np.maximum(at_, 0)] <= mine[:, 0])]
+    return list(map(tuple, mine.tolist()))
+
+
 def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans and added spans, (start, kind, end) each."""
     base = base_spans(text)
     if not _HINT.search(text):
         return base, []
     idents, secrets, ends = weak_parts(text)
-    clear = lambda spans: sorted({(a, b) for a, b in spans if not any(a < y and x < b for x, _, y in base)})
-    weak_idents, weak_secrets = clear(idents), clear(secrets)
-    weak_idents = [(a, b) for a, b in weak_idents if not any(a < y and x < b for x, y in weak_secrets)]
+    strong = [(a, b) for a, _, b in base]
+    weak_secrets = clear(secrets, strong)
+    weak_idents = clear(idents, strong + weak_secrets)
     if not weak_idents and not weak_secrets:
         return base, []
     breaks = np.array([m.start() for m in re.finditer(r"\n\s*\n", text)], np.int64)
