@@ -1,5 +1,8 @@
 """A corpus pipeline over `documents`: reject toxic texts, keep one document of each near-duplicate group, drop benchmark contamination, redact
-secrets, and pack what is left. Each stage works on all that the one before kept; results between stages are Parquet in the shared folder."""
+secrets, and pack what is left. Each stage works on all that the one before kept; results between stages are Parquet in the shared folder.
+
+Rows are judged by their own doc_id and text: of two rows with one doc_id, one can stay and the other go. Rows that repeat both are one document and share
+its fate. Null texts count as empty; rows with a null doc_id are kept by the stages that compare documents."""
 
 from __future__ import annotations
 
@@ -7,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfold.llm import decontaminate, minhash, packing, secrets, toxicity
-from wayfold.llm.common import documents, stored
+from wayfold.llm.common import documents, only_keys, stored
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not among `dropped`; a null doc_id stays."""
-    return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """The documents whose doc_id and text (by text_hash) are not among `dropped`, a narrow table that is stored first; a null doc_id stays."""
+    keys = stored(dropped.select("doc_id", "text_hash").where("doc_id IS NOT NULL").distinct(), "dropped")
+    marked = docs.withColumn("text_hash", F.xxhash64(F.col("text").cast("string")))
+    return only_keys(marked, keys, "left_anti").select(docs.columns)
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,13 +27,13 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group (five-word shingles, similarity 0.8)."""
-    return without(docs, minhash.near_duplicates(docs, shingle=5, threshold=0.8).where("NOT kept"))
+    return without(docs, minhash.verdicts(docs, shingle=5, threshold=0.8).where("NOT kept"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less than a twentieth of whose words lie in a 13-word window of a benchmark item."""
-    found = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=13)
-    return without(docs, found.where("contaminated"))
+    found = decontaminate.matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=13)
+    return without(docs, decontaminate.judged(found).where("contaminated"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +54,7 @@ STAGES = [
     ("packing", pack_documents),
 ]
 
-#: Fitted scores, automata and best-fit packing have no SQL form; the tests compare the stages with brute force.
+#: Fitted scores, automata and best-fit packing have no SQL form; tests/llm/test_pipeline.py holds the stages against brute force.
 ORACLE_SQL = None
 
 
