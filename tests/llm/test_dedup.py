@@ -160,6 +160,26 @@ def test_substring_dedup(spark):
     assert Counter(hashlib.sha256(r.text.encode()).hexdigest() for r in kept.collect() if r.text) == Counter(x[3] for x in removed(rows).elements() if x[3] != hashlib.sha256(b"").hexdigest())
 
 
+def test_hot_window_sends_one_entry_a_chunk(spark):
+    """A line of 4000 documents: its bucket gets one entry a chunk, the copies travel as flags by block, and the result is whole."""
+    line = " ".join(f"line{k}" for k in range(13))
+    rows = [(i, f"own{i} {line} end{i}") for i in range(4000)]
+    layout = substring.Layout(8)
+    runs = substring.batch_runs(frame(spark, rows).repartition(4), 13, layout, blocks=256).collect()
+    codes = Counter(r.bucket for r in runs if r.kind == substring.FIRST for _ in range(len(r.keys) // 4))
+    flags = Counter(r.block for r in runs if r.kind == substring.FLAG for _ in range(len(r.keys) // 8))
+    assert sum(codes.values()) == 2 * 4000 + 4 and sum(flags.values()) == 4000 - 4 and max(flags.values()) < 100
+    got = Counter(map(tuple, substring.dedup(frame(spark, rows)).collect()))
+    assert got == removed(rows)
+
+
+def test_substring_in_long_and_clashing(spark):
+    long_ = " ".join(f"v{i % 50021}" for i in range(200_000))
+    rows = [(2, long_), (1, "z" * 2_000_000), (3, " ".join(long_.split()[777:900])), (3, "a  b\tc " * 30)]
+    clash = frame(spark, rows).selectExpr("*", "1 AS bucket", "2 AS block", "3 AS kind", "4 AS n_words")
+    assert Counter(map(tuple, substring.dedup(clash).collect())) == removed(rows)
+
+
 def test_incremental_equals_whole(spark, tmp_path):
     rows = [r for r in corpus(5) if r[0] is not None]
     rows.sort(key=lambda r: r[0])
