@@ -341,24 +341,29 @@ def test_sharding_cuts_few_links(spark):
 
 
 def test_top_k(spark):
+    """Every row is a candidate but the query's own; rows that repeat a vec_id, with the same or another vector, count each."""
     rng = np.random.default_rng(8)
     vectors = [(int(i), [float(x) for x in rng.normal(0, 1, 6)]) for i in range(300)]
     vectors += [(i + 400, v) for i, v in vectors[:120]]  # ties
-    odd = [(900, None), (901, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (902, [float("nan")] * 6), (903, [float("inf")] * 6), (920, [1.0, 2.0]), (940, []), (None, [0.0] * 6), (20, vectors[20][1])]
-    got = {(r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(spark.createDataFrame(vectors + odd, "vec_id long, embedding array<double>"), k=20).collect()}
-    ints = {i: np.floor(64 * np.array(v)).astype(np.int64) for i, v in vectors}
-    want = set()
-    for q in (i for i in ints if i % 20 == 0):
-        best = sorted(((-int(ints[q] @ v), i) for i, v in ints.items() if i != q))[:20]
-        want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(best)}
+    vectors += [(20, vectors[20][1]), (40, [9.0] * 6), (7, [8.0] * 6), (7, [7.5] * 6)]
+    odd = [(900, None), (901, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (902, [float("nan")] * 6), (903, [float("inf")] * 6), (920, [1.0, 2.0]), (940, []), (None, [0.0] * 6)]
+    table = spark.createDataFrame(vectors + odd, "vec_id long, embedding array<double>").selectExpr("*", "1 AS id", "2 AS v", "3 AS rank", "4 AS dim")
+    got = Counter((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(table, k=20).collect())
+    ints = [(i, np.floor(64 * np.array(v)).astype(np.int64)) for i, v in vectors]
+    want = Counter()
+    for n, (q, v) in enumerate(ints):
+        if q % 20 == 0:
+            best = sorted((-int(v @ w), i) for m, (i, w) in enumerate(ints) if m != n)[:20]
+            want.update((q, k + 1, i, -s) for k, (s, i) in enumerate(best))
     assert got == want
+    assert topk.top_k(table.limit(0)).count() == 0
 
 
 def test_exact_stopping_skips_candidates():
     rng = np.random.default_rng(1)
     centers = rng.integers(-60, 60, (10, 8))
     v = np.concatenate([c + rng.integers(-2, 3, (200, 8)) for c in centers])
-    table = topk.PivotTable(np.arange(len(v)), v, topk.choose_pivots(v, 16))
+    table = topk.PivotTable(np.arange(len(v)), np.arange(len(v)), v, topk.choose_pivots(v, 16))
     ids, scores, seen = table.best(-1, v[0], table.distances(v[:1])[:, 0], 20, -np.inf)
     full = v @ v[0]
     assert scores.tolist() == sorted(full.tolist(), reverse=True)[:20] and seen < len(v)

@@ -10,9 +10,10 @@ The work is a grid: queries and candidates are dealt to groups of bounded size b
 group is one task's cell; the cells' best are ranked per query. Rows sent are queries x candidate groups and candidates x query groups.
 The sample (at most `SAMPLE` vectors, pivots among them) is the only thing that the driver holds.
 
-Defined cases: vectors that are null, or hold a null or non-finite component, take no part, nor does a null vec_id; of rows that repeat a
-vec_id the greatest vector counts; vectors of other lengths than the query's are no candidates; fewer candidates than k give all of them; ties go
-to the smaller vec_id. Components beyond 2**62 after scaling are clipped. Extra columns are ignored.
+Defined cases: vectors that are null, or hold a null or non-finite component, take no part, nor does a null vec_id; rows that repeat a
+vec_id are queries and candidates each, and only the query's own row is none of its candidates; vectors of other lengths than the query's are no candidates; fewer
+candidates than k give all of them; ties go to the smaller vec_id; an empty table gives no rows. Components beyond 2**62 after scaling are clipped, and scores beyond
+64 bits wrap. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,11 +26,11 @@ from pyspark.sql.window import Window
 
 from wayfold.llm.common import block_of, power_of_two, stored
 
-SAMPLE, PIVOTS, QUERIES_A_CELL, CANDIDATES_A_CELL = 1024, 16, 2048, 8192
+SAMPLE, PIVOTS, QUERIES_A_CELL, CANDIDATES_A_CELL = 1024, 32, 2048, 8192
 
 
 def integer_vectors(vectors: DataFrame, scale: int = 64) -> DataFrame:
-    """vec_id, v array<long>: floor(scale * x) of each component, for vectors that take part."""
+    """vec_id, v array<long>: floor(scale * x) of each component, for the rows that take part."""
     x = F.col("embedding")
     number = lambda e: e.cast("double")
     whole = F.forall(x, lambda e: F.coalesce(e.isNotNull() & ~F.isnan(number(e)) & (F.abs(number(e)) < F.lit(float("inf"))), F.lit(False)))
@@ -37,7 +38,7 @@ def integer_vectors(vectors: DataFrame, scale: int = 64) -> DataFrame:
     made = F.transform(x, lambda e: F.greatest(F.least(F.lit(float(scale)) * number(e), F.lit(limit)), F.lit(-limit)))
     good = vectors.where(F.col("vec_id").isNotNull() & x.isNotNull()).where(whole)
     v = F.transform(made, lambda e: F.floor(e).cast("long"))
-    return good.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).groupBy("vec_id").agg(F.max("v").alias("v"))
+    return good.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
 
 
 def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
@@ -60,8 +61,10 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class PivotTable:
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray):
-        self.ids, self.vectors = ids, vectors
+    """Candidates of one length: rows (names of their own), ids, vectors, and their distances to the pivots."""
+
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray):
+        self.rows, self.ids, self.vectors = rows, ids, vectors
         self.pivots = pivots.astype(np.float64)
         self.norms = (vectors.astype(np.float64) ** 2).sum(1)
         self.table = self.distances(vectors)
@@ -83,9 +86,9 @@ class PivotTable:
         return (norm + self.norms - np.maximum(least**2 - 2 * slack, 0)) / 2 + slack
 
     def best(self, own: int, query: np.ndarray, to_pivots: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray, int]:
-        """ids and scores of the k best (of those at `floor` or more), and how many candidates were evaluated."""
+        """ids and scores of the k best (of those at `floor` or more) but for the row `own`, and how many candidates were evaluated."""
         upper = self.bounds(query, to_pivots)
-        alive = np.flatnonzero((upper >= floor) & (self.ids != own))
+        alive = np.flatnonzero((upper >= floor) & (self.rows != own))
         order = alive[np.argsort(-upper[alive], kind="stable")]
         ids, scores, done, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 128
         q = query.astype(np.float64) if self.exact.dtype == np.float64 and float(np.abs(query).max(initial=0)) * float(np.abs(self.exact).max(initial=0)) * max(1, len(query)) < 2**53 else query
@@ -101,55 +104,54 @@ class PivotTable:
         return ids[good], scores[good], done
 
 
-def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.asarray(table.column("vec_id"), np.int64)
+def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rows, ids = (np.asarray(table.column(c), np.int64) for c in ("id", "vec_id"))
     lists = table.column("v").combine_chunks()
     flat = np.asarray(lists.flatten(), np.int64)
-    return ids, flat.reshape(len(ids), -1) if len(ids) and len(flat) else np.zeros((len(ids), 0), np.int64)
+    return rows, ids, flat.reshape(len(ids), -1) if len(ids) and len(flat) else np.zeros((len(ids), 0), np.int64)
 
 
 def search(queries: DataFrame, candidates: DataFrame, k: int = 20) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k largest inner products of each query over the candidates other than itself.
-    Both frames have vec_id and v array<long>."""
+    Both frames have id (one number a row, the same in both for one row), vec_id and v array<long>."""
     sized = candidates.withColumn("dim", F.size("v"))
-    rows = sized.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
+    rows = sized.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "id").limit(SAMPLE).collect()
     sample: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for dim in {r.dim for r in rows}:
         mine = [r for r in rows if r.dim == dim]
-        sample[dim] = np.array([r.vec_id for r in mine], np.int64), np.array([r.v for r in mine], np.int64).reshape(len(mine), dim)
+        sample[dim] = np.array([r.id for r in mine], np.int64), np.array([r.v for r in mine], np.int64).reshape(len(mine), dim)
     pivots = {dim: choose_pivots(v, PIVOTS) for dim, (_, v) in sample.items()}
     n_query, n_all = queries.count(), candidates.count()
     query_groups, groups = power_of_two(n_query / QUERIES_A_CELL, 1), power_of_two(n_all / CANDIDATES_A_CELL, 1)
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        out_q, out_i, out_s = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(4)]
         if left.num_rows and right.num_rows:
-            q_ids, q = _matrix(left)
-            ids, v = _matrix(right)
+            q_rows, q_ids, q = _matrix(left)
+            rows, ids, v = _matrix(right)
             dim = v.shape[1]
             known, some = sample.get(dim, (np.zeros(0, np.int64), np.zeros((0, dim), np.int64)))
-            table = PivotTable(ids, v, pivots.get(dim, some))
+            table = PivotTable(rows, ids, v, pivots.get(dim, some))
             to_pivots = table.distances(q)
             seen = _products(q, some.T)
             for j in range(len(q_ids)):
-                mine = seen[j][known != q_ids[j]]
+                mine = seen[j][known != q_rows[j]]
                 floor = float(np.partition(mine, len(mine) - k)[len(mine) - k]) if len(mine) >= k else -np.inf
-                i, s, _ = table.best(int(q_ids[j]), q[j], to_pivots[:, j], k, floor)
-                out_q.append(np.full(len(i), q_ids[j]))
-                out_i.append(i)
-                out_s.append(s)
-        return pa.table({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_i), "score": np.concatenate(out_s)})
+                i, s, _ = table.best(int(q_rows[j]), q[j], to_pivots[:, j], k, floor)
+                for column, values in zip(out, (np.full(len(i), q_rows[j]), np.full(len(i), q_ids[j]), i, s), strict=True):
+                    column.append(values)
+        return pa.table(dict(zip(("query", "query_id", "vec_id", "score"), map(np.concatenate, out), strict=True)))
 
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    left = queries.select("vec_id", "v", F.size("v").alias("dim"), block_of("vec_id", query_groups).cast("int").alias("row"), every(groups).alias("col"))
-    right = sized.select("vec_id", "v", "dim", every(query_groups).alias("row"), block_of("vec_id", groups).cast("int").alias("col"))
+    left = queries.select("id", "vec_id", "v", F.size("v").alias("dim"), block_of("id", query_groups).cast("int").alias("row"), every(groups).alias("col"))
+    right = sized.select("id", "vec_id", "v", "dim", every(query_groups).alias("row"), block_of("id", groups).cast("int").alias("col"))
     key = ["dim", "row", "col"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(cell, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(cell, "query long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def top_k(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     """Queries: the rows whose vec_id is divisible by `every`; candidates: all rows."""
-    whole = stored(integer_vectors(vectors), "vectors")
+    whole = stored(integer_vectors(vectors).withColumn("id", F.monotonically_increasing_id()), "vectors")
     return search(whole.where(F.col("vec_id") % every == 0), whole, k)
