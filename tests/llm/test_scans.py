@@ -200,6 +200,27 @@ def test_quotation():
     assert abuse[0] > 0 and abuse[3] == 0 and quoted[0] == 0 and quoted[3] > 0 and said[3] > 0
 
 
+def test_quotation_is_judged_by_the_window():
+    machine = toxicity.automaton({"idiot": 3.0}, {})
+
+    def quoted(*texts):
+        points = toxicity.code_points("".join(texts))
+        return (toxicity.features(machine, points, np.concatenate(([0], np.cumsum([len(t) for t in texts]))))[:, 3] > 0).tolist()
+
+    far = "and " * 30
+    assert quoted('5" of rain. you idiot "yes"', "„idiot“ steht da", f'"{far} idiot {far}"', '"an idiot', 'idiot"') == [False, True, False, False, False]
+    assert quoted('the "old idiot" here', '"a" idiot "b"', "idiot") == [True, False, False]
+
+
+def test_toxicity_of_long_texts_and_empty_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    clash = frame(spark, [(1, "word " * 300_000), (2, "w" * 1_500_000), (3, None)]).selectExpr("*", "1 AS label", "2 AS predicted")
+    assert toxicity.score_texts(clash, model).count() == 3 and toxicity.score_texts(clash.limit(0), model).count() == 0
+    assert toxicity.toxicity(clash.limit(0), labels).count() == 0
+
+
 def test_toxicity(spark):
     sf = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
@@ -209,6 +230,49 @@ def test_toxicity(spark):
     assert [(r.score, r.predicted) for r in odd] == [(0.0, 0)] * 3
 
 
+def test_many_languages():
+    """Over 64 languages: more words of masks, the same counts as with a filter for each language alone."""
+    rng = np.random.default_rng(3)
+    samples = {f"l{k:03d}": [" ".join("".join(rng.choice(list("abcdefghij"), 6)) for _ in range(40))] for k in range(150)}
+    many = langid.learn(samples, {})
+    assert many.slots.shape[0] == 3 and many.slots.dtype == np.uint64
+    raw = [samples[f"l{k:03d}"][0][:90].encode() for k in (0, 63, 64, 149)]
+    data, cuts = np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64)
+    n, found = langid.counts(many, data, cuts)
+    assert [many.languages[k] for k in found.argmax(axis=1)] == ["l000", "l063", "l064", "l149"]
+    for k in (0, 63, 64, 149):
+        alone = langid.learn({many.languages[k]: samples[many.languages[k]]}, {})
+        assert np.allclose(langid.counts(alone, data, cuts)[1][:, 0], found[:, k])
+
+
+def test_bloom_counts_against_sets():
+    """Brute force: with sets of n-grams in place of the filter, counts differ by no more than false positives allow, and never fall short."""
+    texts = {"x": ["the quick brown fox jumps over the lazy dog " * 3], "y": ["el veloz murcielago hindu comia feliz cardillo y kiwi " * 3]}
+    made = langid.learn(texts, {})
+    text = "the brown murcielago jumps feliz over kiwi"
+    data, cuts = np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)])
+    gram_set = lambda t: {c for c in langid.grams(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0].tolist()}
+    codes = langid.grams(data, cuts)[0].tolist()
+    want = [sum(c in gram_set(texts[k][0]) for c in codes) for k in "xy"]
+    n, got = langid.counts(made, data, cuts)
+    assert n[0] == len(codes) and np.abs(got[0] - want).max() < 0.01 * len(codes) + 1
+
+
+def test_language_edges(spark):
+    made = langid.learn({"x": ["the quick brown fox " * 9]}, {"x": 1})
+    rows = [(1, "the quick " * 200_000), (2, "x" * 2_000_000), (3, None), (4, "1234 56"), (5, "ab")]
+    clash = frame(spark, rows).selectExpr("*", "1 AS lang_pred", "2 AS held_out")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(clash, made).collect()}
+    assert got[1] == ("x", 1.0) and got[3] == got[4] == ("und", 0.0) and got[5] == ("x", 0.0)
+    assert langid.identify(clash.limit(0)).count() == 0
+
+
+def test_sample_budget():
+    from wayfold.llm.common import within
+
+    assert within([5, 100, 3, 2, 1], 9) == [True, False, True, False, True]
+
+
 def test_packing_equals_plain_best_fit(spark):
     rng = np.random.default_rng(6)
     pieces = [(int(s), 1 << int(a) if a < 5 else 0, 1 << int(c) if c < 3 else 0) for s, a, c in zip(rng.integers(0, 60, 400), rng.integers(0, 6, 400), rng.integers(0, 30, 400), strict=True)]

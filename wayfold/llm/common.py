@@ -110,13 +110,28 @@ def np_block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(7)) ^ (x >> np.uint64(17))) & np.uint64(blocks - 1)).astype(np.int64)
 
 
+#: A sample for fitting holds so many bytes of text at most, whole texts only.
+SAMPLE_BYTES = 48 << 20
+
+
+def within(sizes: list[int], budget: int = SAMPLE_BYTES) -> list[bool]:
+    """Which of the texts, in their order, go into a budget of bytes; one that does not fit is passed over."""
+    out = []
+    for n in sizes:
+        out.append(n <= budget)
+        budget -= n if out[-1] else 0
+    return out
+
+
 def sample_texts(docs: DataFrame, n: int) -> list[str]:
-    """The texts of the n documents whose doc_id has the smallest xxhash64: a bounded sample for fitting, found on narrow columns."""
-    known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"))
-    ids = [(r.doc_id,) for r in known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).collect()]
+    """The texts of the n documents whose doc_id has the smallest xxhash64, SAMPLE_BYTES of them at most: a bounded sample for fitting, chosen on narrow columns."""
+    text = F.col("text").cast("string")
+    known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).alias("bytes"), F.xxhash64(text).alias("text_hash"))
+    rows = known.orderBy(F.xxhash64("doc_id"), "doc_id", "text_hash").limit(n).collect()
+    ids = [(r.doc_id, r.text_hash) for r, fits in zip(rows, within([r.bytes for r in rows]), strict=True) if fits]
     if not ids:
         return []
-    chosen = docs.sparkSession.createDataFrame(ids, "doc_id long").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    found = texts.join(F.broadcast(chosen), "doc_id", "left_semi").collect()
+    chosen = docs.sparkSession.createDataFrame(ids, "doc_id long, text_hash long").distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    found = texts.join(F.broadcast(chosen), ["doc_id", "text_hash"], "left_semi").collect()
     return [r.text for r in sorted(found, key=lambda r: (r.doc_id, r.text))][:n]

@@ -4,8 +4,9 @@ One Bloom filter serves all languages: its slots hold a bit a language, so that
 contain it (a bit-sliced filter). Of a text, all n-grams of all its letters are looked up; per language the hits are counted, corrected for the
 language's false-positive rate, and the largest corrected count decides.
 
-Learning: at most `sample` documents a language (the smallest xxhash64 of their doc_id), on the driver; `sample` bounds it. Prediction is
-one pass without a shuffle; the filter is a few MB, bounded by `SLOTS` and eight bytes a slot, and at most 64 languages.
+Learning: at most `sample` documents a language (the smallest xxhash64 of their doc_id), an equal share of `SAMPLE_BYTES` for each, on the driver, of the `most` most
+frequent languages. Prediction is one pass without a shuffle; the filter has a byte a slot for up to 8 languages, then 2, 4, 8, and a word of 8 for each 64
+languages beyond: 32 MB for the 256 languages that `most` allows unless it is raised.
 
 Defined cases: null text, or text without a letter: `und`, score 0. A text too short for an n-gram: the most frequent language
 among those learned from, score 0. A null lang is not learned from; without learned languages every text is `und`. A null doc_id is never held
@@ -21,8 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wayfold.llm import arrowtext as at
+from wayfold.llm.common import SAMPLE_BYTES, within
 
 GRAM, HASHES, SLOTS = 5, 3, 1 << 20
 _MULTS = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
@@ -36,7 +39,7 @@ _ASCII_LETTER[0x61:0x7B] = _ASCII_LETTER[0x41:0x5B] = True
 
 class Filter(NamedTuple):
     languages: list[str]
-    slots: np.ndarray
+    slots: np.ndarray  # a row for each word of masks
     false_rate: np.ndarray
     common: int
 
@@ -71,18 +74,17 @@ def slots_of(code: np.ndarray) -> Iterator[np.ndarray]:
 def learn(samples: dict[str, list[str]], sizes: dict[str, int]) -> Filter:
     """sizes: the number of documents of each language, which decides where no n-gram can."""
     languages = sorted(samples)
-    if len(languages) > 64:
-        raise ValueError("at most 64 languages")
-    kind = next(t for bits, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32), (64, np.uint64)) if len(languages) <= bits)
-    slots = np.zeros(SLOTS, kind)
+    kind = next((t for bits, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32)) if len(languages) <= bits), np.uint64)
+    width = 8 * kind().itemsize
+    slots = np.zeros((max(1, -(-len(languages) // width)), SLOTS), kind)
     for k, language in enumerate(languages):
         raw = [t.encode() for t in samples[language]]
         data = np.frombuffer(b"".join(raw), np.uint8)
-        code, _ = grams(data, np.concatenate(([0], np.cumsum([len(r) for r in raw]))))
+        code, _ = grams(data, np.concatenate(([0], np.cumsum([len(r) for r in raw]))).astype(np.int64))
         code = np.unique(code)
         for s in slots_of(code):
-            slots[s] |= kind(1 << k)
-    fill = np.array([((slots >> kind(k)) & kind(1)).mean() for k in range(len(languages))])
+            slots[k // width, s] |= kind(1 << k % width)
+    fill = np.array([((slots[k // width] >> kind(k % width)) & kind(1)).mean() for k in range(len(languages))])
     common = max(range(len(languages)), key=lambda k: (sizes.get(languages[k], 0), -k), default=0)
     return Filter(languages, slots, fill**HASHES, common)
 
@@ -93,14 +95,14 @@ def counts(filter_: Filter, data: np.ndarray, offsets: np.ndarray) -> tuple[np.n
     n = np.diff(first)
     out = np.zeros((len(n), len(filter_.languages)))
     if len(code):
-        masks = None
-        for s in slots_of(code):
-            masks = filter_.slots[s] if masks is None else masks & filter_.slots[s]
-        one = masks.dtype.type(1)
-        some = np.flatnonzero(n)
-        for k in range(len(filter_.languages)):
-            bits = (masks >> masks.dtype.type(k)) & one
-            out[some, k] = np.add.reduceat(bits, first[:-1][some], dtype=np.int64)
+        some, places = np.flatnonzero(n), list(slots_of(code))
+        width = 8 * filter_.slots.itemsize
+        for word, slots in enumerate(filter_.slots):
+            masks = slots[places[0]] & slots[places[1]] & slots[places[2]]
+            one = masks.dtype.type(1)
+            for k in range(word * width, min(len(filter_.languages), (word + 1) * width)):
+                bits = (masks >> masks.dtype.type(k % width)) & one
+                out[some, k] = np.add.reduceat(bits, first[:-1][some], dtype=np.int64)
         out = np.clip((out - n[:, None] * filter_.false_rate) / (1 - np.minimum(filter_.false_rate, 0.99)), 0, None)
     return n, out
 
@@ -139,19 +141,27 @@ def held_out(divisor: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % divisor == remainder, F.lit(False))
 
 
-def fit(docs: DataFrame, sample: int = 300) -> Filter:
-    """Learns from at most `sample` documents a language of those given with text and lang."""
-    known = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "lang")
-    sizes = {r.lang: r["count"] for r in known.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(65).collect()}
-    languages = sorted(sizes)
-    ids = [(r.doc_id, lang) for lang in languages for r in known.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
-    if not ids:
+def fit(docs: DataFrame, sample: int = 300, most: int = 256) -> Filter:
+    """Learns from at most `sample` documents a language of those given with text and lang, of the `most` most frequent languages."""
+    text, lang = F.col("text").cast("string"), F.col("lang").cast("string")
+    known = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
+    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), F.octet_length(text).alias("bytes"), F.xxhash64(text).alias("text_hash"))
+    sizes = {r.lang: r["count"] for r in known.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(most).collect()}
+    if not sizes:
         return learn({}, {})
-    chosen = docs.sparkSession.createDataFrame(ids, "doc_id long, lang string").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
-    samples: dict[str, list[str]] = {}
-    for r in sorted(texts.collect(), key=lambda r: (r.lang, r.doc_id, r.text or "")):
-        samples.setdefault(r.lang, []).append(r.text or "")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text_hash"))
+    rows = known.where(F.col("lang").isin(list(sizes))).withColumn("place", place).where(F.col("place") <= sample).collect()
+    ids = []
+    for language in sizes:
+        mine = sorted((r for r in rows if r.lang == language), key=lambda r: r.place)
+        ids += [(r.doc_id, r.lang, r.text_hash) for r, fits in zip(mine, within([r.bytes for r in mine], SAMPLE_BYTES // len(sizes)), strict=True) if fits]
+    samples: dict[str, list[str]] = {language: [] for language in sizes}
+    if ids:
+        chosen = docs.sparkSession.createDataFrame(ids, "doc_id long, lang string, text_hash long").distinct()
+        texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+        found = texts.join(F.broadcast(chosen), ["doc_id", "lang", "text_hash"], "left_semi").collect()
+        for r in sorted(found, key=lambda r: (r.lang, r.doc_id, r.text)):
+            samples[r.lang].append(r.text)
     return learn(samples, sizes)
 
 

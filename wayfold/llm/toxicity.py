@@ -1,12 +1,12 @@
 """Toxicity scores by Levenshtein automata over a learned lexicon, with context windows.
 
 Learning (driver, at most `sample` labelled documents, the smallest xxhash64 of their doc_id): words and word beginnings that occur
-almost only in documents labelled toxic make the lexicon, all of them. Its trie is intersected with Levenshtein automata (one error from five letters
+almost only in documents labelled toxic make the lexicon, all of them (a word has 3 to 40 letters). Its trie is intersected with Levenshtein automata (one error from five letters
 on, two from nine on) and made deterministic, in parts of `PART` terms, since states multiply with the terms of a part: a part is one table over
 (state, letter class) that runs over the distinct words of a chunk in step, a letter at a time, and drops words whose state is dead. A hit is exact, misspelled, or a word that begins with a learned beginning.
 
-Each hit looks at a window of words around it: inside quotation marks, or near a verb of reporting, it counts as quotation, else
-as abuse; other hits in the window strengthen it. Counts of each sort are the features of a logistic regression
+Each hit looks at a window of words around it: between an opening and a closing quotation mark, or near a verb of reporting, it counts as quotation, else
+as abuse; other hits near it strengthen it. Counts of each sort are the features of a logistic regression
 fitted on the same sample. Texts are scored whole, in one pass without a shuffle; tables and weights are bounded by the sample.
 
 Defined cases: null and empty texts get the score of a text without hits; a null doc_id is scored, never held out, and not learned from;
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfold.llm import arrowtext as at
+from wayfold.llm.common import within
 from wayfold.llm.langid import held_out
 
 PART, WINDOW = 16, 8
@@ -179,6 +180,22 @@ def hits_of(parts: Automaton | list[Automaton], points: np.ndarray, starts: np.n
 FEATURES = ("abuse exact", "abuse misspelled", "abuse beginning", "quotation", "weight", "share of words", "together")
 
 
+def quote_marks(points: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of quotation marks, and which of them can open and which can close: the ones whose shape says so, and straight ones by what stands beside them."""
+    marks = np.flatnonzero(np.isin(points, [ord(q) for q in _QUOTES]))
+    shape = points[marks]
+    beside = np.concatenate(([0x20], points, [0x20]))
+    edge = np.isin(marks, cuts)  # the first character of a text
+    inner = ~np.isin(marks + 1, cuts)
+    letter = lambda c: np.where(c < len(_LETTER), _LETTER[np.minimum(c, len(_LETTER) - 1)], True)
+    before, after = letter(beside[marks]) & ~edge, letter(beside[marks + 2]) & inner
+    closed_text = (beside[marks] > 0x20) & ~edge
+    straight = shape == 0x22
+    opens = np.where(straight, after & ~before, ~np.isin(shape, [ord(q) for q in "”»›"]))
+    closes = np.where(straight, closed_text & ~after, ~np.isin(shape, [ord(q) for q in "„«‹"]))
+    return marks, opens, closes
+
+
 class Model(NamedTuple):
     automata: list[Automaton]
     scale: np.ndarray
@@ -204,11 +221,16 @@ def features(parts: Automaton | list[Automaton], points: np.ndarray, cuts: np.nd
     first = np.searchsorted(starts, cuts)
     doc = np.searchsorted(first, hits, "right") - 1
     words = np.maximum(np.diff(first), 1)
-    quotes = np.isin(points, [ord(q) for q in _QUOTES])
-    before = np.concatenate(([0], np.cumsum(quotes)))
-    opened = before[starts[hits]] - before[cuts[doc]]
-    closing = before[cuts[doc + 1]] - before[ends[hits]]
-    quoted = (opened % 2 == 1) & (closing > 0)
+    # the marks nearest to the hit inside its window decide: one that opens before it, one that closes after it
+    left, right = starts[np.maximum(hits - WINDOW, first[doc])], ends[np.minimum(hits + WINDOW, first[doc + 1] - 1)]
+    marks, opens, closes = quote_marks(points, cuts)
+    quoted = np.zeros(len(hits), bool)
+    if len(marks):
+        after = np.searchsorted(marks, ends[hits])
+        before = np.maximum(np.searchsorted(marks, starts[hits]) - 1, 0)
+        behind = np.minimum(after, len(marks) - 1)
+        quoted = opens[before] & (marks[before] < starts[hits]) & (marks[before] >= np.maximum(left - 1, cuts[doc]))
+        quoted &= closes[behind] & (marks[behind] >= ends[hits]) & (marks[behind] <= right + 1) & (marks[behind] < cuts[doc + 1])
     for i in np.flatnonzero(~quoted).tolist():
         h, low, high = hits[i], max(first[doc[i]], hits[i] - WINDOW), min(first[doc[i] + 1], hits[i] + WINDOW + 1)
         if high - low > 1:
@@ -320,15 +342,21 @@ def keep_clean(docs: DataFrame, model: Model | None, least: float = 0.5) -> Data
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, divisor: int = 5, remainder: int = 0) -> Model | None:
-    """Learns from at most `sample` labelled documents outside the held-out part."""
+    """Learns from at most `sample` labelled documents outside the held-out part, SAMPLE_BYTES of text at most."""
     usable = labels.where(~held_out(divisor, remainder)).where("doc_id IS NOT NULL AND toxic IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     rows = [(r.doc_id, r.toxic) for r in usable.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample).collect()]
     if not rows:
         return None
     chosen = docs.sparkSession.createDataFrame(rows, "doc_id long, toxic int")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    found = texts.join(F.broadcast(chosen), "doc_id").collect()
-    return learn([(r.text, r.toxic) for r in sorted(found, key=lambda r: (r.doc_id, r.toxic, r.text))])
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).where("text IS NOT NULL").withColumn("text_hash", F.xxhash64("text"))
+    sizes = texts.select("doc_id", "text_hash", F.octet_length("text").alias("bytes")).join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "toxic", "text_hash").limit(sample).collect()
+    fitting = [(r.doc_id, r.toxic, r.text_hash) for r, fits in zip(sizes, within([r.bytes for r in sizes]), strict=True) if fits]
+    if not fitting:
+        return None
+    chosen = docs.sparkSession.createDataFrame(fitting, "doc_id long, toxic int, text_hash long").distinct()
+    found = texts.join(F.broadcast(chosen), ["doc_id", "text_hash"]).collect()
+    return learn([(r.text, r.toxic) for r in sorted(found, key=lambda r: (r.doc_id, r.toxic, r.text))][:sample])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = 6000) -> DataFrame:
