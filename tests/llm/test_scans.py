@@ -88,6 +88,70 @@ def test_pii_held_out(model):
     assert right >= 0.8 * total and wrong <= 3
 
 
+HELD_OUT = [
+    ("Please write to maria-luisa.gomez [at] uni-example [dot] es", 0), ("support(at)northwind(dot)com answers", 0), ("Call 030 901 820 44 after lunch", 3),
+    ("fax (212) 664-7665, ask for Ann", 3), ("ring us on 020 7946 0018 today", 3), ("server 172 . 16 . 254 . 1 did not answer", 1),
+    ("blocked host 203[.]0[.]113[.]42 in the log", 1), ("paid with 4111.1111.1111.1111 on Monday", 2), ("card 5500 - 0000 - 0000 - 0004 expired", 2),
+    ("the room is 12 x 14 x 9 feet", -1), ("see chapter 4.2.1 and 5.3", -1), ("on 2021-03-04 at 10:45 we met", -1), ("order 99817 of 44 items", -1), ("look at the dot on the map", -1),
+]
+
+
+def test_pii_written_by_hand(model):
+    """Cases that no generator wrote."""
+    found = []
+    for text, kind in HELD_OUT:
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        _, added = pii.found_in(text, pii.tag(model, points, np.array([0, len(points)])), 0, len(points))
+        found.append(any(k == kind for k, _, _ in added) if kind >= 0 else not added)
+    assert all(f for f, (_, kind) in zip(found, HELD_OUT, strict=True) if kind < 0)
+    assert sum(f for f, (_, kind) in zip(found, HELD_OUT, strict=True) if kind >= 0) >= 6
+
+
+def test_runs_are_decoded_as_a_whole():
+    """Blocks and joints give what one Viterbi pass over the whole run gives."""
+    rng = np.random.default_rng(7)
+    t = tagger.Tagger(5, 5)
+    t.p["T"] = rng.normal(0, 2, (5, 5)).astype(np.float32)
+    t._forbid()
+    lengths = [1, 4, 2, 7, 1]
+    emissions = rng.normal(0, 2, (sum(lengths), 6, 5)).astype(np.float32)
+    begins = np.isin(np.arange(sum(lengths)), np.concatenate(([0], np.cumsum(lengths)[:-1])))
+    got, at_ = t.decode_runs(emissions, begins), 0
+    for n in lengths:
+        em = emissions[at_ : at_ + n].reshape(-1, 5).astype(np.float64)
+        score, back = t.p["T"][0] + em[0], []
+        for e in em[1:]:
+            ways = score[:, None] + t.p["T"]
+            back.append(ways.argmax(axis=0))
+            score = ways.max(axis=0) + e
+        path = [int(score.argmax())]
+        for b in reversed(back):
+            path.append(int(b[path[-1]]))
+        assert got[at_ : at_ + n].reshape(-1).tolist() == path[::-1]
+        at_ += n
+
+
+def test_runs_grow_with_their_spans():
+    """A tagged stretch much longer than a window is followed to both its ends, from the one character that can trigger it."""
+    t = tagger.Tagger(pii.SYMBOLS, 9)
+    scores = np.zeros((pii.SYMBOLS, 9), np.float32)
+    scores[:, 2] = 4  # all continues a span of kind 0,
+    scores[[pii._SPACE, pii._BREAK]] = [4] + [0] * 8  # but for spaces
+    t.emissions = lambda ids: scores[ids].transpose(1, 0, 2)
+    text = "x " * 100 + "a" * 500 + "@" + "b" * 700 + " y" * 100
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    tags = pii.tag(t, points, np.array([0, len(points)]))
+    assert (0, 200, 1401) in pii.spans_of(tags, 0, len(points))
+
+
+def test_base_spans_on_random_texts():
+    """Ten thousand random texts of digits and marks: the spans that the plain patterns give."""
+    rng = np.random.default_rng(1)
+    letters = np.array(list("0123456789" * 2 + "..+-() @aé1"))
+    for text in ["host 1.2.3.4 up", "call +1.2.3.4.5.6.7.8.9", "ping 8.8.8.8"] + ["".join(rng.choice(letters, int(rng.integers(1, 40)))) for _ in range(10_000)]:
+        assert [f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in pii.base_spans(text)] == plain_pii(text), text
+
+
 def test_windows_are_reconciled(model):
     """A span found in a short text is found wherever it stands in a long one."""
     shown = "(017) 555-7713"

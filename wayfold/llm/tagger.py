@@ -59,21 +59,46 @@ class Tagger:
         both = [self._lstm(ids, d, False)[0] for d in "fr"]
         return np.concatenate(both, axis=2) @ self.p["W"] + self.p["b"]
 
-    def decode(self, ids: np.ndarray) -> np.ndarray:
-        """The best tag sequence of each row (Viterbi)."""
-        em = self.emissions(ids)
-        time, batch, _ = em.shape
-        score, back = em[0] + self.p["S"], np.empty((time, batch, self.tags), np.int8)
-        moves = self.p["T"].T[None]  # to, from
+    def decode_runs(self, emissions: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """The best tag sequence of runs of blocks: emissions (block, time, tag); begins marks the blocks that start a run, and a run starts and ends outside
+        any known span. Blocks are reduced to the best scores from the tag before to the last tag, all at once; these are joined along the runs, all runs at once; then the
+        way back is followed through the joints and the blocks."""
+        n, time, _ = emissions.shape
+        moves = self.p["T"].T  # to, from
+        score = self.p["T"][None] + emissions[:, 0, None, :]  # block, tag before, tag
+        back = np.zeros((time, n, self.tags, self.tags), np.int8)
         for t in range(1, time):
-            all_ = score[:, None, :] + moves
-            back[t] = all_.argmax(axis=2)
-            score = np.take_along_axis(all_, back[t][:, :, None].astype(np.int64), 2)[:, :, 0] + em[t]
-        out = np.empty((batch, time), np.int8)
-        out[:, -1] = score.argmax(axis=1)
-        rows = np.arange(batch)
+            best = np.full(score.shape, -np.inf, F32)
+            for k in range(self.tags):
+                way = score[:, :, k, None] + moves[None, None, :, k]
+                better = way > best
+                np.copyto(best, way, where=better)
+                np.copyto(back[t], np.int8(k), where=better)
+            score = best + emissions[:, t, None, :]
+        first = np.flatnonzero(begins)
+        length = np.diff(np.append(first, n))
+        order = np.argsort(-length, kind="stable")  # long runs first, so that those that go on are a prefix
+        first, length = first[order], length[order]
+        at = np.full((len(first), self.tags), FORBIDDEN, F32)
+        at[:, 0] = 0
+        came = np.zeros((n, self.tags), np.int8)
+        for k in range(int(length.max(initial=0))):
+            live = int(np.searchsorted(-length, -k, "left"))
+            ways = at[:live, :, None] + score[first[:live] + k]
+            came[first[:live] + k] = ways.argmax(axis=1)
+            at[:live] = ways.max(axis=1)
+        entry, exit_ = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        now = at.argmax(axis=1)
+        for k in range(int(length.max(initial=0)) - 1, -1, -1):
+            live = int(np.searchsorted(-length, -k, "left"))
+            block = first[:live] + k
+            exit_[block] = now[:live]
+            now[:live] = came[block, now[:live]]
+            entry[block] = now[:live]
+        out, rows = np.empty((n, time), np.int8), np.arange(n)
+        out[:, -1] = exit_
         for t in range(time - 1, 0, -1):
-            out[:, t - 1] = back[t][rows, out[:, t]]
+            out[:, t - 1] = back[t][rows, entry, out[:, t]]
         return out
 
     def gradients(self, ids: np.ndarray, gold: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
