@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,7 +129,7 @@ def _members(body: str) -> list[str]:
 
 
 def line_parts(wkt: str | None) -> list[np.ndarray] | None:
-    """Vertex arrays of the line parts, one level deep; None if the text is no geometry with a line of two points or more."""
+    """Vertex arrays of the line parts, one level deep; None if the text is no geometry with a line of two points or more. The whole grammar, a text at a time."""
     if not wkt:
         return None
 
@@ -151,33 +154,119 @@ def line_parts(wkt: str | None) -> list[np.ndarray] | None:
     return None if not parts or any(p is None for p in parts) else parts
 
 
-def exact_km(texts: pd.Series) -> pd.Series:
-    """Geodesic kilometres of WKT texts; NaN without a usable line or with a vertex out of range. Parts are not joined."""
-    owner, a, b = [], [], []
-    bad = np.ones(len(texts), bool)
-    for i, t in enumerate(texts):
-        parts = line_parts(t)
+_PLAIN_LINE = r"(?is)^\s*LINESTRING\s*(?:Z|M|ZM)?\s*\((?P<body>[-+0-9.eE,\s]+)\)\s*$"
+
+
+class Lines(NamedTuple):
+    """Line parts of a batch of texts: vertices one after the other, parts by their first vertex, and the text of each part."""
+
+    xy: np.ndarray  # vertices x 2
+    first: np.ndarray  # of each part, one more at the end
+    owner: np.ndarray  # of each part
+    good: np.ndarray  # of each text: whether it has usable lines
+
+    def segments(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and ends of the segments, and the text of each."""
+        inner = np.ones(len(self.xy), bool)
+        inner[self.first[1:] - 1] = False
+        at = np.flatnonzero(inner)
+        return self.xy[at], self.xy[at + 1], np.repeat(self.owner, np.diff(self.first) - 1)
+
+
+def parse_lines(texts: pa.Array) -> Lines:
+    """Plain LINESTRING texts are taken apart by Arrow kernels, a batch at a time; all others, and those whose numbers do not parse, by `line_parts`."""
+    body = pc.struct_field(pc.extract_regex(texts, _PLAIN_LINE), "body")
+    plain = np.flatnonzero(np.asarray(pc.is_valid(body)))
+    vertices = pc.split_pattern(body.take(pa.array(plain)), ",")
+    count = np.asarray(pc.list_value_length(vertices), np.int64)
+    tokens = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(vertices.flatten()))
+    words = np.asarray(pc.list_value_length(tokens), np.int64)
+    start, flat = np.cumsum(words) - words, tokens.flatten()
+    last = np.cumsum(count)
+    sound = (count >= 2) & (np.minimum.reduceat(words, last - count) >= 2) if len(count) else np.zeros(0, bool)
+    xy = np.zeros((len(words), 2))
+    try:
+        numbers = np.asarray(pc.cast(flat, pa.float64()))
+        usable = np.repeat(sound, count)
+        xy[usable] = numbers[start[usable][:, None] + np.arange(2)]
+    except pa.ArrowInvalid:  # some token is no number
+        sound[:] = False
+    keep = np.repeat(sound, count)
+    xy, sizes, owner = xy[keep], count[sound], plain[sound]
+    good = np.zeros(len(texts), bool)
+    good[owner] = True
+    more_xy, more_sizes, more_owner = [xy], [sizes], [owner]
+    for i in np.flatnonzero(~good & np.asarray(pc.is_valid(texts))).tolist():
+        parts = line_parts(texts[i].as_py())
         if parts is not None:
-            bad[i] = False
-            for p in parts:
-                owner.append(np.full(len(p) - 1, i))
-                a.append(p[:-1])
-                b.append(p[1:])
-    out = np.zeros(len(texts))
-    if owner:
-        a_, b_, which = np.concatenate(a), np.concatenate(b), np.concatenate(owner)
-        m = vincenty_m(a_[:, 0], a_[:, 1], b_[:, 0], b_[:, 1])
-        both = np.concatenate((a_, b_), axis=1)
-        m[(np.abs(both[:, [0, 2]]) > 180).any(1) | (np.abs(both[:, [1, 3]]) > 90).any(1)] = np.nan
-        out = np.bincount(which, m, minlength=len(texts))
-    out[bad] = np.nan
-    return pd.Series(out / 1000.0)
-
-
-@F.pandas_udf(T.DoubleType())
-def line_length_km(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            good[i] = True
+            more_xy += parts
+            more_sizes.append(np.array([len(p) for p in parts]))
+            more_owner.append(np.full(len(parts), i))
+    xy, sizes, owner = np.concatenate(more_xy), np.concatenate(more_sizes).astype(np.int64), np.concatenate(more_owner).astype(np.int64)
+    return Lines(xy, np.concatenate(([0], np.cumsum(sizes))), owner, good)
+
+
+def _kilometres(texts: pa.Array, metres) -> pa.Array:
+    """Sums of `metres` over the segments of each text; null without a usable line or with a vertex out of range."""
+    lines = parse_lines(texts)
+    a, b, owner = lines.segments()
+    m = metres(a[:, 0], a[:, 1], b[:, 0], b[:, 1])
+    m[(np.abs(a) > (180, 90)).any(axis=1) | (np.abs(b) > (180, 90)).any(axis=1)] = np.nan
+    km = np.bincount(owner, m, minlength=len(texts)) / 1000.0
+    return pa.array(km, mask=~lines.good | np.isnan(km))
+
+
+def middle_m(lon1: np.ndarray, lat1: np.ndarray, lon2: np.ndarray, lat2: np.ndarray) -> np.ndarray:
+    """As `segment_m`, for arrays."""
+    mid = np.radians((lat1 + lat2) / 2)
+    w = 1 - _E2 * np.sin(mid) * np.sin(mid)
+    east = np.radians((lon2 - lon1 + 180.0) % 360.0 - 180.0) * (V.EQUATOR_M / np.sqrt(w)) * np.cos(mid)
+    north = np.radians(lat2 - lat1) * (V.EQUATOR_M * (1 - _E2) / (w * np.sqrt(w)))
+    return np.sqrt(east * east + north * north)
+
+
+def _batches(parts: Iterator[pa.Array], metres) -> Iterator[pa.Array]:
+    for texts in parts:
+        yield _kilometres(texts.cast(pa.string()), metres)
+
+
+@F.arrow_udf(T.DoubleType())
+def line_length_km(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Exact geodesic kilometres of a WKT line, multi-line or collection."""
+    yield from _batches(batches, vincenty_m)
+
+
+@F.arrow_udf(T.DoubleType())
+def line_length_mid_km(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Kilometres by the middle-latitude formula, same grammar; `line_km` is its form as an expression."""
+    yield from _batches(batches, middle_m)
+
+
+_VERTEX = T.StructType([T.StructField(n, t) for n, t in (("part", T.IntegerType()), ("i", T.IntegerType()), ("x", T.DoubleType()), ("y", T.DoubleType()))])
+
+
+@F.arrow_udf(T.ArrayType(_VERTEX))
+def line_vertices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Vertices of WKT lines: the part and the place in it, x and y. Null without a usable line."""
     for texts in batches:
-        yield exact_km(texts)
+        lines = parse_lines(texts.cast(pa.string()))
+        order = np.argsort(lines.owner, kind="stable")
+        sizes = np.diff(lines.first)[order]
+        ends = np.cumsum(sizes)
+        inner = np.arange(int(sizes.sum())) - np.repeat(ends - sizes, sizes)
+        at = np.repeat(lines.first[:-1][order], sizes) + inner
+        owner = lines.owner[order]
+        part = np.arange(len(owner)) - np.searchsorted(owner, owner)
+        counts = np.bincount(owner, sizes, minlength=len(texts)).astype(np.int64)
+        cells = pa.StructArray.from_arrays([pa.array(np.repeat(part, sizes).astype(np.int32)), pa.array(inner.astype(np.int32)), pa.array(lines.xy[at, 0]), pa.array(lines.xy[at, 1])], ["part", "i", "x", "y"])
+        offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32), mask=np.append(~lines.good, False))
+        yield pa.ListArray.from_arrays(offsets, cells)
+
+
+def exact_km(texts: pd.Series) -> pd.Series:
+    """Geodesic kilometres of WKT texts; NaN without a usable line or with a vertex out of range. Parts are not joined."""
+    return _kilometres(pa.array(texts, pa.string(), from_pandas=True), vincenty_m).to_pandas()
 
 
 def edges_of(parts: list[np.ndarray]) -> np.ndarray:

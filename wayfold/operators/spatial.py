@@ -1,16 +1,19 @@
 """Spatial joins by grid keys: point in polygon, roads to countries, nearest polygon, clipping, tiles. Plain equi-joins with a residual predicate.
 
-A point is tested only against edges of its own y-slab, so that work grows with the edges that cross the slab; slabs spread polygons and points over
-tasks, and adaptive execution splits a crowded one.
+A point is tested only against edges of its own y-slab, and there only against those of polygons that begin west of its x-block's end and edges that reach to it; slabs
+are as thin as the number of edges asks for, so that work grows with the edges near a point. Adaptive execution splits a crowded slab.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+from wayfold.functions.geometry import line_vertices
 
 WORLD = 180.0
+BLOCK_DEG, EDGES_A_SLAB, THINNEST = 15.0, 256, 1000
 
 
 def usable_edges(edges: DataFrame) -> DataFrame:
@@ -22,32 +25,43 @@ def slab(y: Column, res: int) -> Column:
     return F.floor((y + 90.0) * res).cast("int")
 
 
-def inside(points: DataFrame, edges: DataFrame, res: int = 1) -> DataFrame:
-    """(pid, unit) for each polygon that holds the point, by counting crossed edges (even-odd, holes included)."""
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    cut = usable_edges(edges).where("y1 <> y2").withColumn("slab", F.explode(F.sequence(slab(low, res), slab(high, res))))
-    met = points.withColumn("slab", slab(F.col("y"), res)).join(cut, "slab")
+def resolution(edges: DataFrame) -> int:
+    """Slabs a degree that leave about EDGES_A_SLAB edges in each; boundaries are counted once, and are of dimension size."""
+    row = edges.agg(F.count("*").alias("n"), (F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))).alias("span")).first()
+    return max(1, min(THINNEST, int(row.n / (max(row.span or 0.0, 1.0) * EDGES_A_SLAB))))
+
+
+def inside(points: DataFrame, edges: DataFrame, res: int | None = None) -> DataFrame:
+    """(pid, unit) for each polygon that holds the point, by counting the edges that a ray to the east crosses (even-odd, holes included)."""
+    res = resolution(edges) if res is None else res
+    block = lambda x: F.floor(x / F.lit(BLOCK_DEG)).cast("int")
+    used = usable_edges(edges)
+    west = used.groupBy("unit").agg(F.min(F.least("x1", "x2")).alias("west"))
+    cut = used.where("y1 <> y2").join(west, "unit").withColumn("slab", F.explode(F.sequence(slab(F.least("y1", "y2"), res), slab(F.greatest("y1", "y2"), res))))
+    cut = cut.withColumn("block", F.explode(F.sequence(block(F.col("west")), block(F.greatest("x1", "x2"))))).drop("west")
+    met = points.withColumn("slab", slab(F.col("y"), res)).withColumn("block", block(F.col("x"))).join(cut, ["slab", "block"])
     crosses = ((F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))) & (F.col("x") < F.col("x1") + (F.col("y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1")))
     return met.where(crosses).groupBy("pid", "unit").agg(F.count("*").alias("n")).where("n % 2 = 1").select("pid", "unit")
 
 
-def inside_boxes(points: DataFrame, boxes: DataFrame) -> DataFrame:
-    """(pid, unit) of axis-aligned boxes (unit, s, w, n, e), by degree cells."""
-    cells = boxes.withColumn("cy", F.explode(F.sequence(F.floor("s").cast("int"), F.floor("n").cast("int"))))
-    p = points.withColumn("cy", F.floor("y").cast("int"))
-    return p.join(cells, "cy").where("y BETWEEN s AND n AND x BETWEEN w AND e").select("pid", "unit")
+def walked(segments: DataFrame, ends: tuple[str, str, str, str], size: float, pad_y: float, pad_x: Column) -> DataFrame:
+    """Adds cy and cx: the cells of a grid that a segment widened by pad_x and pad_y degrees may touch, followed row by row along the segment."""
+    x1, y1, x2, y2 = (F.col(c) for c in ends)
+    cell = lambda v: F.floor(v / F.lit(size)).cast("long")
+    low, high = F.least(y1, y2), F.greatest(y1, y2)
+    rows = segments.withColumn("cy", F.explode(F.sequence(cell(low - pad_y), cell(high + pad_y))))
+    at = lambda y: F.when(y1 == y2, x1).otherwise(x1 + (F.greatest(low, F.least(high, y)) - y1) * (x2 - x1) / (y2 - y1))
+    a, b = at(F.col("cy") * size - pad_y), F.when(y1 == y2, x2).otherwise(at((F.col("cy") + 1) * size + pad_y))
+    return rows.withColumn("cx", F.explode(F.sequence(cell(F.least(a, b) - pad_x), cell(F.greatest(a, b) + pad_x))))
 
 
 def nearest(points: DataFrame, edges: DataFrame, max_km: float = 2.0) -> DataFrame:
-    """(pid, unit, km) of the polygon with the closest edge within `max_km`, by cells of at least that width; ties go to the smaller unit."""
+    """(pid, unit, km) of the polygon with the closest edge within `max_km`, by cells a few times as wide; ties go to the smaller unit."""
     deg = max_km / 110.0
-    cell = lambda c, size: F.floor(c / size).cast("long")
     wide = deg * 4
-    e = usable_edges(edges)
-    for axis in ("y", "x"):
-        pad = F.lit(deg) if axis == "y" else F.lit(deg) / F.greatest(F.cos(F.radians(F.greatest(F.abs("y1"), F.abs("y2")) + deg)), F.lit(0.01))
-        e = e.withColumn(f"c{axis}", F.explode(F.sequence(cell(F.least(f"{axis}1", f"{axis}2") - pad, wide), cell(F.greatest(f"{axis}1", f"{axis}2") + pad, wide))))
-    p = points.withColumn("cy", cell(F.col("y"), wide)).withColumn("cx", cell(F.col("x"), wide))
+    pad = F.lit(deg) / F.greatest(F.cos(F.radians(F.least(F.lit(90.0), F.greatest(F.abs("y1"), F.abs("y2")) + deg))), F.lit(0.01))
+    e = walked(usable_edges(edges), ("x1", "y1", "x2", "y2"), wide, deg, pad)
+    p = points.withColumn("cy", F.floor(F.col("y") / wide).cast("long")).withColumn("cx", F.floor(F.col("x") / wide).cast("long"))
     k = F.cos(F.radians("y"))
     dx, dy = (F.col("x2") - F.col("x1")) * k, F.col("y2") - F.col("y1")
     px, py = (F.col("x") - F.col("x1")) * k, F.col("y") - F.col("y1")
@@ -58,7 +72,7 @@ def nearest(points: DataFrame, edges: DataFrame, max_km: float = 2.0) -> DataFra
     return best.select("pid", F.col("b.unit").alias("unit"), F.col("b.km").alias("km"))
 
 
-def road_units(vertices: DataFrame, edges: DataFrame, res: int = 1) -> DataFrame:
+def road_units(vertices: DataFrame, edges: DataFrame, res: int | None = None) -> DataFrame:
     """way, unit, at: a row for each polygon that holds a vertex of the way; `at` is the inside vertex closest to the middle, ties to the lower."""
     pid = F.struct("way", "i")
     hits = inside(vertices.select(pid.alias("pid"), "x", "y"), edges, res).select("pid.way", "pid.i", "unit")
@@ -66,7 +80,7 @@ def road_units(vertices: DataFrame, edges: DataFrame, res: int = 1) -> DataFrame
     return hits.join(middle, "way").groupBy("way", "unit").agg(F.min_by("i", F.struct(F.abs(F.col("i") - F.col("mid")), F.col("i"))).alias("at"))
 
 
-def road_countries(vertices: DataFrame, edges: DataFrame, max_km: float = 2.0, res: int = 1) -> DataFrame:
+def road_countries(vertices: DataFrame, edges: DataFrame, max_km: float = 2.0, res: int | None = None) -> DataFrame:
     """way, unit, at, boundary_match ('inside', 'nearest' or null): ways without a hit take the nearest polygon at their middle vertex."""
     hit = road_units(vertices, edges, res).withColumn("boundary_match", F.lit("inside"))
     lost = vertices.join(hit.select("way").distinct(), "way", "left_anti")
@@ -77,41 +91,71 @@ def road_countries(vertices: DataFrame, edges: DataFrame, max_km: float = 2.0, r
     return hit.unionByName(rest)
 
 
-def admin_of(points: DataFrame, edges: DataFrame, owners: DataFrame, res: int = 1) -> DataFrame:
-    """pid, unit: the lowest unit that holds the point (pid, x, y, iso), dropped if its country (owners: unit, unit_iso) is another; nulls agree."""
-    found = inside(points, edges, res).groupBy("pid").agg(F.min("unit").alias("unit")).join(owners, "unit", "left")
-    out = points.join(found, "pid", "left")
+def admin_of(points: DataFrame, edges: DataFrame, owners: DataFrame, res: int | None = None, max_km: float | None = None) -> DataFrame:
+    """pid, unit: the lowest unit that holds the point (pid, x, y, iso) or else, with `max_km`, the nearest within it; dropped if its country (owners: unit,
+    unit_iso) is another; nulls agree."""
+    found = inside(points, edges, res).groupBy("pid").agg(F.min("unit").alias("unit"))
+    if max_km is not None:
+        lost = points.join(found, "pid", "left_anti")
+        found = found.unionByName(nearest(lost, edges, max_km).select("pid", "unit"))
+    out = points.join(found.join(owners, "unit", "left"), "pid", "left")
     clash = (F.col("iso") != F.col("unit_iso")) & F.col("iso").isNotNull() & F.col("unit_iso").isNotNull()
     return out.select("pid", F.when(~F.coalesce(clash, F.lit(False)), F.col("unit")).alias("unit"))
 
 
-def touching(lines: DataFrame, edges: DataFrame, distance: float, cell: float = 1.0) -> DataFrame:
-    """Lines (id, unit, i, x, y vertices) that touch the polygon of their unit widened by `distance` degrees: an inside vertex, or a segment close enough to an
-    edge. The join form of the clip, for boundary sets too large to ship."""
-    from pyspark.sql.window import Window
+def admin_levels(points: DataFrame, levels: list[tuple[DataFrame, DataFrame]], max_km: float | None = None) -> DataFrame:
+    """pid and a column admin1, admin2, ... for each (edges, owners) given."""
+    out = points.select("pid")
+    for k, (edges, owners) in enumerate(levels, 1):
+        out = out.join(admin_of(points, edges, owners, max_km=max_km).withColumnRenamed("unit", f"admin{k}"), "pid", "left")
+    return out
 
-    key = F.struct("id", "i", F.col("unit").alias("want"))
-    held = inside(lines.select(key.alias("pid"), "x", "y"), edges).where("unit = pid.want").select("pid.id", "unit")
-    nxt = Window.partitionBy("id", "unit").orderBy("i")
-    segs = lines.select("id", "unit", F.col("x").alias("ax"), F.col("y").alias("ay"), F.lead("x").over(nxt).alias("bx"), F.lead("y").over(nxt).alias("by")).where("bx IS NOT NULL")
 
-    def cells(df: DataFrame, x1: str, y1: str, x2: str, y2: str, pad: float) -> DataFrame:
-        span = lambda a, b: F.sequence(F.floor((F.least(a, b) - pad) / cell).cast("int"), F.floor((F.greatest(a, b) + pad) / cell).cast("int"))
-        return df.withColumn("cx", F.explode(span(x1, x2))).withColumn("cy", F.explode(span(y1, y2)))
+def merged_units(edges: DataFrame, keys: DataFrame) -> DataFrame:
+    """Edges whose units (keys: unit, key) are one unit a key, the smallest of them; units without a key stay as they are."""
+    one = keys.where("key IS NOT NULL").groupBy("key").agg(F.min("unit").alias("merged"))
+    named = keys.join(one, "key").select("unit", "merged")
+    return edges.join(named, "unit", "left").withColumn("unit", F.coalesce("merged", "unit")).select(edges.columns)
 
-    met = cells(segs, "ax", "ay", "bx", "by", distance).join(cells(usable_edges(edges), "x1", "y1", "x2", "y2", 0.0), ["unit", "cx", "cy"])
+
+def near_units(lines: DataFrame, edges: DataFrame, distance: float, cell: float = 1.0) -> DataFrame:
+    """(id, unit) of lines (id, i, x, y vertices) that touch a polygon widened by `distance` degrees: an inside vertex, or a segment close enough to an edge."""
+    held = inside(lines.select(F.struct("id", "i").alias("pid"), "x", "y"), edges).select("pid.id", "unit")
+    nxt = Window.partitionBy("id").orderBy("i")
+    segs = lines.select("id", F.col("x").alias("ax"), F.col("y").alias("ay"), F.lead("x").over(nxt).alias("bx"), F.lead("y").over(nxt).alias("by")).where("bx IS NOT NULL")
+    met = walked(segs, ("ax", "ay", "bx", "by"), cell, distance, F.lit(distance)).join(walked(usable_edges(edges), ("x1", "y1", "x2", "y2"), cell, 0.0, F.lit(0.0)), ["cy", "cx"])
     side = lambda ax, ay, bx, by, cx, cy: (F.col(bx) - F.col(ax)) * (F.col(cy) - F.col(ay)) - (F.col(by) - F.col(ay)) * (F.col(cx) - F.col(ax))
 
     def away(px: str, py: str, x1: str, y1: str, x2: str, y2: str) -> Column:
         dx, dy = F.col(x2) - F.col(x1), F.col(y2) - F.col(y1)
         t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((F.col(px) - F.col(x1)) * dx + (F.col(py) - F.col(y1)) * dy) / F.greatest(dx * dx + dy * dy, F.lit(1e-300))))
-        return F.hypot(F.col(px) - F.col(x1) - t * dx, F.col(py) - F.col(y1) - t * dy)
+        return F.sqrt(F.pow(F.col(px) - F.col(x1) - t * dx, F.lit(2.0)) + F.pow(F.col(py) - F.col(y1) - t * dy, F.lit(2.0)))
 
     crossing = (side("ax", "ay", "bx", "by", "x1", "y1") * side("ax", "ay", "bx", "by", "x2", "y2") < 0) & (side("x1", "y1", "x2", "y2", "ax", "ay") * side("x1", "y1", "x2", "y2", "bx", "by") < 0)
     gap = F.least(away("ax", "ay", "x1", "y1", "x2", "y2"), away("bx", "by", "x1", "y1", "x2", "y2"), away("x1", "y1", "ax", "ay", "bx", "by"), away("x2", "y2", "ax", "ay", "bx", "by"))
     return held.union(met.where(crossing | (gap <= distance)).select("id", "unit")).distinct()
 
 
+def touching(lines: DataFrame, edges: DataFrame, distance: float, cell: float = 1.0) -> DataFrame:
+    """Lines (id, unit, i, x, y vertices) that touch the polygon of their own unit widened by `distance` degrees: (id, unit)."""
+    found = near_units(lines.select("id", "i", "x", "y").distinct(), edges, distance, cell)
+    return found.join(lines.select("id", "unit").distinct(), ["id", "unit"])
+
+
+def clip(roads: DataFrame, boundaries: DataFrame, distance: float, code: str = "code", key: str = "osm_id", geometry: str = "geometry") -> DataFrame:
+    """The roads, whole, that touch the boundary of their own code (column `code`) widened by `distance` degrees. boundaries: iso_a3, geometry_json, several rows a
+    code, which are united: a road stays if any row's polygons take it. Roads without a usable line or whose code has no boundary go. Rows that repeat a key stay or go
+    each by their own code and line."""
+    texts = roads.select(F.col(code).alias("code_"), F.col(geometry).alias("text_")).distinct().where("code_ IS NOT NULL AND text_ IS NOT NULL")
+    named = texts.withColumn("id", F.struct("code_", "text_"))
+    parts = named.select("id", F.explode(line_vertices("text_")).alias("v"))
+    lines = parts.select(F.struct("id", F.col("v.part").alias("part")).alias("id"), F.col("v.i").alias("i"), F.col("v.x").alias("x"), F.col("v.y").alias("y"))
+    codes = texts.select(F.col("code_").alias("iso_a3")).distinct()
+    found = near_units(lines, geojson_edges(boundaries.join(codes, "iso_a3", "left_semi")), distance)
+    kept = found.where("unit.code = id.id.code_").select(F.col("id.id.code_").alias("code_"), F.col("id.id.text_").alias("text_")).distinct()
+    return roads.join(kept, (roads[code] == kept.code_) & (roads[geometry] == kept.text_), "left_semi")
+
+
 def ring_clean(points: Column, grid: float | None) -> Column:
     """A ring rounded to a grid, repeated vertices dropped, closed; null with fewer than four points. points: array of (x, y)."""
     snapped = points if not grid else F.transform(points, lambda p: F.struct((F.round(p["x"] / grid) * grid).alias("x"), (F.round(p["y"] / grid) * grid).alias("y")))
@@ -120,24 +164,39 @@ def ring_clean(points: Column, grid: float | None) -> Column:
     return F.when(F.size(closed) >= 4, closed)
 
 
-GEOMETRY = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
 _RING = "array<array<array<double>>>"
+COLLECTION_DEPTH = 4
+
+
+def _leaves(geometry: Column, depth: int) -> Column:
+    """The geometries of a GeoJSON text, collections taken apart."""
+    deeper = F.raise_error(F.lit("geometry collections are nested too deep")).cast("array<string>")
+    members = F.from_json(F.get_json_object(geometry, "$.geometries"), "array<string>")
+    inner = F.flatten(F.transform(members, lambda g: _leaves(g, depth - 1))) if depth else deeper
+    return F.when(F.get_json_object(geometry, "$.type") == "GeometryCollection", inner).otherwise(F.array(geometry))
 
 
 def geojson_edges(boundaries: DataFrame, code: str = "iso_a3", text: str = "geometry_json") -> DataFrame:
-    """unit, x1, y1, x2, y2 of GeoJSON Polygons and MultiPolygons, bare or in a Feature. Several rows of a code must be judged each and united by `bool_or`: the unit is the
-    struct (code, row hash, polygon)."""
+    """unit, x1, y1, x2, y2 of GeoJSON Polygons and MultiPolygons, bare, in a Feature or in collections (up to COLLECTION_DEPTH deep, beyond it an error); other
+    geometries have no area. Heights are dropped, rings with fewer than three points go. The unit is the struct (code, row, part, piece): each row of a code and each of its
+    polygons is judged by itself, and whoever asks for the code takes any (`clip`, `codes_of`)."""
     geometry = F.coalesce(F.get_json_object(text, "$.geometry"), F.col(text))
-    kind, body = F.get_json_object(geometry, "$.type"), F.get_json_object(geometry, "$.coordinates")
+    rows = boundaries.where(F.col(text).isNotNull()).select(F.col(code).alias("code"), F.xxhash64(text).alias("row"), F.posexplode(_leaves(geometry, COLLECTION_DEPTH)).alias("part", "leaf"))
+    kind, body = F.get_json_object("leaf", "$.type"), F.get_json_object("leaf", "$.coordinates")
     polygons = F.when(kind == "Polygon", F.array(F.from_json(body, _RING))).when(kind == "MultiPolygon", F.from_json(body, f"array<{_RING}>"))
-    rows = boundaries.where(F.col(text).isNotNull()).select(F.col(code).alias("code"), F.xxhash64(text).alias("row"), F.posexplode(polygons).alias("part", "rings"))
-    rings = rows.select(F.struct("code", "row", "part").alias("unit"), F.explode("rings").alias("ring")).where(F.size("ring") >= 3)
+    pieces = rows.select("code", "row", "part", F.posexplode(polygons).alias("piece", "rings"))
+    rings = pieces.select(F.struct("code", "row", "part", "piece").alias("unit"), F.explode("rings").alias("ring")).where(F.size("ring") >= 3)
     pairs = F.arrays_zip(F.slice("ring", 1, F.size("ring") - 1), F.slice("ring", 2, F.size("ring") - 1))
     steps = rings.select("unit", F.explode(pairs).alias("p")).select("unit", F.col("p.0").alias("a"), F.col("p.1").alias("b"))
     closing = rings.where(F.element_at("ring", 1) != F.element_at("ring", -1)).select("unit", F.element_at("ring", -1).alias("a"), F.element_at("ring", 1).alias("b"))
     return steps.union(closing).select("unit", F.get("a", F.lit(0)).alias("x1"), F.get("a", F.lit(1)).alias("y1"), F.get("b", F.lit(0)).alias("x2"), F.get("b", F.lit(1)).alias("y2"))
 
 
+def codes_of(points: DataFrame, boundaries: DataFrame) -> DataFrame:
+    """(pid, code): the codes any of whose rows holds the point. Rows and polygons are united, never cancelled."""
+    return inside(points, geojson_edges(boundaries)).select("pid", F.col("unit.code").alias("code")).distinct()
+
+
 def normal_box(s: Column, w: Column, n: Column, e: Column) -> list[Column]:
     """Corners clamped to the world and ordered; degenerate sides are widened by a hundredth of a degree."""
     s2, n2 = F.greatest(F.lit(-90.0), F.least(s, n)), F.least(F.lit(90.0), F.greatest(s, n))

@@ -78,7 +78,7 @@ _WIDE_SQL = _BYKIND + ", w AS (SELECT n_name AS country, CAST(coalesce(sum(km),
 
 
 def _wide(spark, d):
-    return coverage.wide(coverage.by_kind(_long(spark, d)), table(spark, d, "nation").select(F.col("n_name").alias("country")))
+    return coverage.wide(coverage.small(coverage.by_kind(_long(spark, d))), table(spark, d, "nation").select(F.col("n_name").alias("country")))
 
 
 @query("agg5_wide_coverage", _WIDE_SQL + " SELECT * FROM w", "roads")
@@ -91,9 +91,19 @@ def spellings(spark, d):
     return coverage.spellings(_long(spark, d)).withColumn("total_km", F.col("total_km").cast("decimal(20,1)"))
 
 
-@query("agg7_coverage_checks", _WIDE_SQL + " SELECT count(*) AS rows, count(DISTINCT country) AS countries, CAST(0 AS BIGINT) AS nulls, true AS passed FROM w", "roads")
+_KMS = [w.rpartition(" AS ")[2] for w in _WIDE]
+_GAP = f"abs(total_coverage_km - ({' + '.join(_KMS)}))"
+_NULLS = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in ("country", "total_coverage_km", *_KMS))
+
+
+@query("agg7_chk2_chk3_coverage", _WIDE_SQL + f" SELECT count(*) AS rows, count(DISTINCT country) AS countries, CAST({_NULLS} AS BIGINT) AS nulls, CAST(max({_GAP}) AS DECIMAL(20,3)) AS gap, count(*) = count(DISTINCT country) AND {_NULLS} = 0 AND max({_GAP}) <= 0.01 AS passed FROM w", "roads")
 def coverage_checks(spark, d):
-    return coverage.checks(_wide(spark, d)).drop("gap")
+    return coverage.checks(_wide(spark, d)).withColumn("gap", F.col("gap").cast("decimal(20,3)"))
+
+
+@query("chk6_timestamps", "SELECT count(*) AS rows, count(*) FILTER (WHERE coalesce(osm_ts, 0) <= 0) AS missing, count(*) = 0 OR count(*) FILTER (WHERE coalesce(osm_ts, 0) <= 0) < 0.5 * count(*) AS passed FROM road_tags", "road_tags")
+def timestamps(spark, d):
+    return coverage.timestamps_present(view(spark, d, "road_tags"))
 
 
 @query("flt8_bad_geometry", _MEASURED + " SELECT osm_id, country, kind, geometry FROM measured WHERE km IS NULL", "roads")
@@ -464,14 +474,9 @@ def best_relation(spark, d):
     return table(spark, d, "orders").groupBy("o_custkey").agg(F.min_by("o_orderkey", rank).alias("best"))
 
 
-@query("set1_union", "SELECT country, osm_id FROM roads WHERE country = 'NATION_1' UNION ALL SELECT country, osm_id FROM roads WHERE country = 'NATION_2'", "roads")
+@query("set1_union", "SELECT country, osm_id FROM roads", "roads")
 def union(spark, d):
-    r = view(spark, d, "roads").select("country", "osm_id")
-    return r.where("country = 'NATION_1'").unionByName(r.where("country = 'NATION_2'"))
-
-
-@query("set1_union_whole", "SELECT country, osm_id FROM roads", "roads")
-def union_whole(spark, d):
+    """All countries' tables as one: a union over the published tables."""
     r = view(spark, d, "roads").select("country", "osm_id")
     names = [x.n_name for x in table(spark, d, "nation").select("n_name").distinct().orderBy("n_name").collect()]
     return reduce(DataFrame.unionByName, [r.where(F.col("country") == name) for name in names])
@@ -517,11 +522,64 @@ def unassigned(spark, d):
     return v.join(spatial.road_units(v, view(spark, d, "edges")), "way", "left_anti").select("way").distinct()
 
 
-@query("sp7_jn9_nearest")
+def _away(px: str, py: str, x1: str, y1: str, x2: str, y2: str) -> str:
+    """Distance of a point from a segment in the plane, as SQL."""
+    dx, dy = f"({x2}-{x1})", f"({y2}-{y1})"
+    t = f"greatest(0.0, least(1.0, (({px}-{x1})*{dx} + ({py}-{y1})*{dy}) / greatest({dx}*{dx} + {dy}*{dy}, 1e-300)))"
+    return f"sqrt(pow({px}-{x1}-{t}*{dx}, 2) + pow({py}-{y1}-{t}*{dy}, 2))"
+
+
+def _km_away(edges: str) -> str:
+    """Kilometres of (x, y) from an edge, longitudes shrunk by the cosine of the point's latitude."""
+    k = "cos(radians(y))"
+    t = f"greatest(0.0, least(1.0, ((x-x1)*{k}*(x2-x1)*{k} + (y-y1)*(y2-y1)) / greatest(pow((x2-x1)*{k}, 2) + pow(y2-y1, 2), 1e-300)))"
+    return f"sqrt(pow((x-x1)*{k} - {t}*(x2-x1)*{k}, 2) + pow((y-y1) - {t}*(y2-y1), 2)) * 111.195"
+
+
+_NEAR = f""", lost AS (SELECT DISTINCT way FROM vertices WHERE way NOT IN (SELECT way FROM hit)),
+ mid AS (SELECT v.way, v.i, v.x, v.y FROM vertices v JOIN lost USING (way) JOIN (SELECT way, CAST(floor(count(*)/2) AS INT) AS m FROM vertices GROUP BY way) c ON c.way = v.way AND c.m = v.i),
+ near AS (SELECT way, arg_min(unit, row(km, unit)) AS unit FROM (SELECT way, unit, {_km_away('edges')} AS km FROM mid, edges) WHERE km <= 50.0 GROUP BY way)
+ SELECT way, unit, CAST("at" AS INT) AS "at", 'inside' AS boundary_match FROM (SELECT way, unit, arg_min(i, row(abs(i - 2), i)) AS "at" FROM hit GROUP BY 1, 2)
+ UNION ALL SELECT m.way, n.unit, CAST(m.i AS INT), CASE WHEN n.unit IS NOT NULL THEN 'nearest' END FROM mid m LEFT JOIN near n USING (way)"""
+
+
+@query("sp7_jn9_nearest", _HITS + _NEAR, "vertices edges")
 def nearest(spark, d):
     return spatial.road_countries(view(spark, d, "vertices"), view(spark, d, "edges"), max_km=50.0)
 
 
+def _level_sql(edges: str, as_: str) -> str:
+    return f"""(SELECT p.pid, CASE WHEN NOT coalesce(CASE WHEN p.pid % 4 = 0 THEN NULL ELSE p.pid % 5 END <> CASE WHEN u.unit % 6 = 0 THEN NULL ELSE u.unit % 5 END, false) THEN u.unit END AS {as_}
+ FROM points p LEFT JOIN (SELECT pid, coalesce(min(unit) FILTER (WHERE held), arg_min(unit, row(km, unit)) FILTER (WHERE km <= 300.0)) AS unit FROM
+ (SELECT pid, unit, sum(CASE WHEN {_CROSS} THEN 1 ELSE 0 END) % 2 = 1 AS held, min({_km_away(edges)}) AS km FROM points, {edges} GROUP BY 1, 2) GROUP BY pid) u USING (pid))"""
+
+
+@query("sp10_admin_levels", f"WITH+ districts AS (SELECT unit + 100 AS unit, x1 + 4.0 AS x1, y1, x2 + 4.0 AS x2, y2 FROM edges) SELECT pid, admin1, admin2 FROM {_level_sql('edges', 'admin1')} JOIN {_level_sql('districts', 'admin2')} USING (pid)", "points edges")
+def admin_levels(spark, d):
+    p = view(spark, d, "points").withColumn("iso", F.when(F.col("pid") % 4 != 0, F.col("pid") % 5))
+    first = view(spark, d, "edges")
+    second = first.select((F.col("unit") + 100).alias("unit"), (F.col("x1") + 4.0).alias("x1"), "y1", (F.col("x2") + 4.0).alias("x2"), "y2")
+    owner = lambda e: e.select("unit").distinct().withColumn("unit_iso", F.when(F.col("unit") % 6 != 0, F.col("unit") % 5))
+    return spatial.admin_levels(p, [(first, owner(first)), (second, owner(second))], max_km=300.0)
+
+
+@query("agg17_merged_units", f"WITH+ k AS (SELECT DISTINCT unit, CASE WHEN unit % 7 < 6 THEN unit % 7 END AS key FROM edges), m AS (SELECT e.*, coalesce(min(e.unit) FILTER (WHERE key IS NOT NULL) OVER (PARTITION BY key), e.unit) AS one FROM edges e JOIN k USING (unit)), u AS (SELECT CASE WHEN unit % 7 < 6 THEN one ELSE unit END AS unit, x1, y1, x2, y2 FROM m) SELECT pid, unit FROM points JOIN u ON {_CROSS} GROUP BY 1, 2 HAVING count(*) % 2 = 1", "points edges")
+def merged_units(spark, d):
+    e = view(spark, d, "edges")
+    keys = e.select("unit", F.when(F.col("unit") % 7 < 6, F.col("unit") % 7).alias("key")).distinct()
+    return spatial.inside(view(spark, d, "points"), spatial.merged_units(e, keys))
+
+
+@query("sp9_ring_clean", """WITH+ w AS (SELECT way, list({'x': round(x/6.5)*6.5, 'y': round(y/6.5)*6.5} ORDER BY i) AS p FROM vertices GROUP BY way),
+ k AS (SELECT way, [p[j] FOR j IN range(1, len(p) + 1) IF j = 1 OR p[j] <> p[j-1]] AS p FROM w), c AS (SELECT way, CASE WHEN p[1] = p[len(p)] THEN p ELSE list_append(p, p[1]) END AS p FROM k)
+ SELECT way, CASE WHEN len(p) >= 4 THEN CAST(len(p) AS INT) END AS n, CASE WHEN len(p) >= 4 THEN CAST(list_sum(list_transform(p, lambda q: q.x)) AS DECIMAL(12,3)) END AS sum_x FROM c""", "vertices")
+def ring_clean(spark, d):
+    ways = view(spark, d, "vertices").groupBy("way").agg(F.array_sort(F.collect_list(F.struct("i", "x", "y"))).alias("p"))
+    ring = ways.select("way", spatial.ring_clean(F.transform("p", lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y"))), 6.5).alias("r"))
+    total = F.aggregate("r", F.lit(0.0), lambda s, v: s + v["x"]).cast("decimal(12,3)")
+    return ring.select("way", F.when(F.col("r").isNotNull(), F.size("r")).alias("n"), F.when(F.col("r").isNotNull(), total).alias("sum_x"))
+
+
 @query("sp10_admin", f"WITH+ low AS (SELECT pid, min(unit) AS unit FROM (SELECT pid, unit FROM points JOIN edges ON {_CROSS} GROUP BY 1, 2 HAVING count(*) % 2 = 1) GROUP BY 1) SELECT pid, CASE WHEN NOT coalesce(CASE WHEN pid % 4 = 0 THEN NULL ELSE pid % 5 END <> CASE WHEN unit % 6 = 0 THEN NULL ELSE unit % 5 END, false) THEN unit END AS unit FROM points LEFT JOIN low USING (pid)", "points edges")
 def admin(spark, d):
     p = view(spark, d, "points").withColumn("iso", F.when(F.col("pid") % 4 != 0, F.col("pid") % 5))
@@ -544,10 +602,34 @@ def _boxes(spark, d):
     return table(spark, d, "nation").select(k.cast("long").alias("unit"), (cx - 10.5).alias("w"), (cx + 12.25).alias("e"), (cy - 7.5).alias("s"), (cy + 8.75).alias("n"))
 
 
-@query("sp1_jn6_clip_boxes", f"SELECT DISTINCT way FROM vertices v JOIN {_BOX} b ON v.y BETWEEN b.s AND b.n AND v.x BETWEEN b.w AND b.e", "vertices")
-def clip_boxes(spark, d):
-    v = view(spark, d, "vertices").select(F.struct("way", "i").alias("pid"), "x", "y")
-    return spatial.inside_boxes(v, _boxes(spark, d)).select("pid.way").distinct()
+_CLIP_DEG = 0.25
+_TOUCH = f"""((bx-ax)*(y1-ay)-(by_-ay)*(x1-ax))*((bx-ax)*(y2-ay)-(by_-ay)*(x2-ax)) < 0 AND ((x2-x1)*(ay-y1)-(y2-y1)*(ax-x1))*((x2-x1)*(by_-y1)-(y2-y1)*(bx-x1)) < 0
+ OR least({_away('ax', 'ay', 'x1', 'y1', 'x2', 'y2')}, {_away('bx', 'by_', 'x1', 'y1', 'x2', 'y2')}, {_away('x1', 'y1', 'ax', 'ay', 'bx', 'by_')}, {_away('x2', 'y2', 'ax', 'ay', 'bx', 'by_')}) <= {_CLIP_DEG}"""
+_CLIP = f"""WITH+ b AS (SELECT n_name AS country, 0 AS r, x1, y1, x2, y2 FROM edges JOIN nation ON unit = n_nationkey WHERE unit <> 24 UNION ALL SELECT n_name, 1, x1 + 1.0, y1, x2 + 1.0, y2 FROM edges JOIN nation ON unit = n_nationkey WHERE unit % 3 = 0 AND unit <> 24),
+ lines AS (SELECT DISTINCT country, geometry, {_POINTS} AS p FROM roads), good AS (SELECT * FROM lines WHERE len(p) >= 2),
+ v AS (SELECT country, geometry, i, p[i].x AS x, p[i].y AS y FROM (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM good)),
+ held AS (SELECT DISTINCT country, geometry FROM (SELECT v.country, geometry, i, r FROM v JOIN b ON v.country = b.country AND {_CROSS} GROUP BY 1, 2, 3, 4 HAVING count(*) % 2 = 1)),
+ s AS (SELECT country, geometry, p[i].x AS ax, p[i].y AS ay, p[i+1].x AS bx, p[i+1].y AS by_ FROM (SELECT *, unnest(range(1, len(p))) AS i FROM good)),
+ near AS (SELECT DISTINCT s.country, geometry FROM s JOIN b ON s.country = b.country AND ({_TOUCH})), kept AS (SELECT * FROM held UNION SELECT * FROM near)
+ SELECT osm_id, country FROM roads JOIN kept USING (country, geometry)"""
+
+
+def _boundaries(spark, d):
+    """A row for each nation but the last, a third of them with a second row, as GeoJSON in its several wrappings."""
+    e = view(spark, d, "edges").where("unit <> 24")
+    ring = lambda shift: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("y1", "x1"))), lambda p: F.concat(F.lit("["), (p["x1"] + shift).cast("string"), F.lit(", "), p["y1"].cast("string"), F.lit("]"))), ", ")
+    rings = e.groupBy("unit").agg(ring(F.lit(0.0)).alias("ring"), ring(F.lit(1.0)).alias("moved")).join(table(spark, d, "nation"), F.col("unit") == F.col("n_nationkey"))
+    bare = lambda r: F.concat(F.lit('{"type": "Polygon", "coordinates": [['), F.col(r), F.lit("]]}"))
+    multi = F.concat(F.lit('{"type": "MultiPolygon", "coordinates": [[['), F.col("ring"), F.lit("]]]}"))
+    bag = F.concat(F.lit('{"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [1, 2]}, {"type": "GeometryCollection", "geometries": ['), bare("ring"), F.lit("]}]}"))
+    feature = F.concat(F.lit('{"type": "Feature", "properties": {}, "geometry": '), bare("moved"), F.lit("}"))
+    first = rings.select(F.col("n_name").alias("iso_a3"), F.when(F.col("unit") % 3 == 0, bare("ring")).when(F.col("unit") % 3 == 1, bag).otherwise(multi).alias("geometry_json"))
+    return first.union(rings.where("unit % 3 = 0").select("n_name", feature)).union(spark.createDataFrame([("NATION_24", None)], "a string, b string"))
+
+
+@query("sp1_sp2_sp5_src9_src10_clip", _CLIP, "roads edges")
+def clip(spark, d):
+    return spatial.clip(view(spark, d, "roads"), _boundaries(spark, d), _CLIP_DEG, code="country").select("osm_id", "country")
 
 
 _TILES = f"""WITH+ b AS (SELECT unit AS key, s, w, n, e FROM {_BOX}), i AS (SELECT *, unnest(range(CAST(floor(s/5.0) AS INT), CAST(ceil(n/5.0) AS INT))) AS i FROM b), g AS (SELECT *, unnest(range(CAST(floor(w/5.0) AS INT), CAST(ceil(e/5.0) AS INT))) AS j FROM i),
@@ -577,12 +659,29 @@ def normal_box(spark, d):
     return table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), *spatial.normal_box(a, a, b, b))
 
 
-@query("sp15_tile_plan")
+_STATUS = "(key + length(tile) + ascii(right(tile, 1))) % 3"
+_CHILDREN = " UNION ALL ".join(f"SELECT key, tile || '.{k}' AS tile FROM {{of}}" for k in range(4))
+
+
+@query("sp15_tile_plan", f"""{_TILES}, l0 AS (SELECT key, tile FROM t WHERE n - s > 1e-9 AND e - w > 1e-9), c1 AS ({_CHILDREN.format(of='l0')}),
+ prior AS (SELECT key, tile, CASE {_STATUS} WHEN 0 THEN 'done' WHEN 1 THEN 'split' ELSE 'failed' END AS status FROM (SELECT * FROM l0 UNION ALL SELECT * FROM c1)),
+ l1 AS ({_CHILDREN.format(of="(SELECT l0.* FROM l0 JOIN prior USING (key, tile) WHERE status = 'split')")}), l2 AS ({_CHILDREN.format(of="(SELECT l1.* FROM l1 JOIN prior USING (key, tile) WHERE status = 'split')")}),
+ every AS (SELECT *, 0 AS depth FROM l0 UNION ALL SELECT *, 1 FROM l1 UNION ALL SELECT *, 2 FROM l2)
+ SELECT key, tile, CAST(depth AS INT) AS depth FROM every LEFT JOIN prior USING (key, tile) WHERE status IS NULL OR status <> 'done' AND NOT (status = 'split' AND depth < 2)""")
 def tile_plan(spark, d):
     t = spatial.tiles(_boxes(spark, d).withColumnRenamed("unit", "key"), 5.0)
-    h = F.pmod(F.xxhash64("key", "tile"), F.lit(3))
+    h = (F.col("key") + F.length("tile") + F.ascii(F.right("tile", F.lit(1)))) % 3
     prior = t.unionByName(spatial.split(t)).select("key", "tile", F.when(h == 0, "done").when(h == 1, "split").otherwise("failed").alias("status"))
-    return spatial.plan(t, prior, max_depth=2)
+    return spatial.plan(t, prior, max_depth=2).select("key", "tile", "depth")
+
+
+@query("sp14_prune", f"""{_TILES}, f AS (SELECT * FROM t WHERE n - s > 1e-9 AND e - w > 1e-9), o AS (SELECT unit AS key, least(y1, y2) AS os, least(x1, x2) AS ow, greatest(y1, y2) AS on_, greatest(x1, x2) AS oe FROM edges WHERE unit % 4 <> 3),
+ near AS (SELECT DISTINCT f.key, f.tile FROM f JOIN o ON f.key = o.key AND w - 0.25 <= oe AND e + 0.25 >= ow AND s - 0.25 <= on_ AND n + 0.25 >= os)
+ SELECT key, tile FROM f WHERE (SELECT count(*) FROM f g WHERE g.key = f.key) <= 12 OR key NOT IN (SELECT key FROM near) OR (key, tile) IN (SELECT (key, tile) FROM near)""", "edges")
+def prune(spark, d):
+    t = spatial.tiles(_boxes(spark, d).withColumnRenamed("unit", "key"), 5.0)
+    o = view(spark, d, "edges").where("unit % 4 <> 3").select(F.col("unit").alias("key"), F.least("y1", "y2").alias("os"), F.least("x1", "x2").alias("ow"), F.greatest("y1", "y2").alias("on_"), F.greatest("x1", "x2").alias("oe"))
+    return spatial.prune(t, o).select("key", "tile")
 
 
 # --- sources -------------------------------------------------------------------------------------------------------------------
@@ -604,13 +703,8 @@ def geojson_lines(spark, d):
     return out.select("osm_id", "osm_version", "highway", "surface", F.get("coords", F.lit(2)).alias("x2"))
 
 
-@query("src7_elements", "SELECT p_partkey AS osm_id, p_brand AS highway, CAST(2 AS INT) AS n FROM part WHERE p_partkey % 3 <> 0")
+@query("src7_elements", "SELECT p_partkey AS osm_id, p_brand AS highway, CAST(2 AS INT) AS n FROM part")
 def elements(spark, d):
-    return _elements(table(spark, d, "part").where("p_partkey % 3 <> 0"))
-
-
-@query("src7_elements_whole", ORACLES["src7_elements"].replace(" WHERE p_partkey % 3 <> 0", ""))
-def elements_whole(spark, d):
     return _elements(table(spark, d, "part"))
 
 
@@ -620,17 +714,12 @@ def _elements(part):
     return out.select("osm_id", F.element_at("tags", "highway").alias("highway"), F.size("points").alias("n"))
 
 
-@query("src14_resolve", """WITH idx AS (SELECT CAST(p_partkey AS BIGINT) AS pos, 'u' || CAST(p_partkey AS VARCHAR) AS url, 1 + p_partkey % 3 AS n FROM part WHERE p_partkey < 60),
+@query("src14_resolve", """WITH idx AS (SELECT CAST(p_partkey AS BIGINT) AS pos, 'u' || CAST(p_partkey AS VARCHAR) AS url, 1 + p_partkey % 3 AS n FROM part),
  listed AS (SELECT pos, url, n, 'C' || CAST((pos + k) % 40 AS VARCHAR) AS iso2 FROM idx, (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2) WHERE k < n),
  best AS (SELECT iso2, arg_min(url, row(n, pos)) AS listed_url FROM listed GROUP BY 1),
- c AS (SELECT CASE WHEN c_custkey % 50 = 49 THEN 'AN' ELSE 'C' || CAST(c_custkey AS VARCHAR) END AS iso2, CASE WHEN c_custkey % 4 = 0 THEN 's' || CAST(c_custkey AS VARCHAR) END AS slug FROM customer WHERE c_custkey < 50)
+ c AS (SELECT CASE WHEN c_custkey % 50 = 49 THEN 'AN' ELSE 'C' || CAST(c_custkey AS VARCHAR) END AS iso2, CASE WHEN c_custkey % 4 = 0 THEN 's' || CAST(c_custkey AS VARCHAR) END AS slug FROM customer)
  SELECT c.iso2, CASE WHEN c.iso2 IN ('AN', 'CS') THEN 'obsolete' WHEN slug IS NOT NULL THEN 'static' WHEN listed_url IS NOT NULL THEN 'index' ELSE 'missing' END AS status, CASE WHEN c.iso2 NOT IN ('AN', 'CS') THEN coalesce('extract/' || slug, listed_url) END AS url FROM c LEFT JOIN best ON c.iso2 = best.iso2""")
 def resolve(spark, d):
-    return _resolve(table(spark, d, "part").where("p_partkey < 60"), table(spark, d, "customer").where("c_custkey < 50"))
-
-
-@query("src14_resolve_whole", ORACLES["src14_resolve"].replace(" WHERE p_partkey < 60", "").replace(" WHERE c_custkey < 50", ""))
-def resolve_whole(spark, d):
     return _resolve(table(spark, d, "part"), table(spark, d, "customer"))
 
 
