@@ -2,9 +2,9 @@
 
 Vectors are made integer, component by component. Pivots are chosen farthest-first from a bounded sample. A candidate's distances to all
 pivots give, for each query, the largest of the lower bounds |d(q, p) - d(x, p)| of its distance, and with the norms an upper bound of the
-inner product: q.x = (|q|^2 + |x|^2 - d(q, x)^2) / 2. Candidates are evaluated in the order of that bound, in growing steps, until the next bound lies
-under the k-th best score: exact stopping. The k-th best score in the sample is a floor from the start, so that groups without
-good candidates end at once.
+inner product: q.x = (|q|^2 + |x|^2 - d(q, x)^2) / 2. Candidates lie in blocks of neighbours (by their nearest pivot and the distance from it); blocks are evaluated in
+the order of their largest bound until the next one lies under the k-th best score: exact stopping. The k-th best score in the sample is a floor from the start, so
+that groups without good candidates end at once. Where vectors have no clusters, as in the test tables, bounds exclude little and nearly all are evaluated.
 
 The work is a grid: queries and candidates are dealt to groups of bounded size by a hash of vec_id, and every pair of a query group and a candidate
 group is one task's cell; the cells' best are ranked per query. Rows sent are queries x candidate groups and candidates x query groups.
@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 
 from wayfold.llm.common import block_of, power_of_two, stored
 
-SAMPLE, PIVOTS, QUERIES_A_CELL, CANDIDATES_A_CELL = 1024, 32, 2048, 8192
+SAMPLE, PIVOTS, BLOCK, QUERIES_A_CELL, CANDIDATES_A_CELL = 1024, 32, 256, 2048, 8192
 
 
 def integer_vectors(vectors: DataFrame, scale: int = 64) -> DataFrame:
@@ -63,13 +63,21 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class PivotTable:
     """Candidates of one length: rows (names of their own), ids, vectors, and their distances to the pivots."""
 
-    def __init__(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray):
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, block: int = BLOCK):
+        self.pivots, self.block = pivots.astype(np.float64), block
+        table = self.distances(vectors)
+        if len(pivots) and len(rows):
+            near = table.argmin(axis=0)
+            order = np.lexsort((table[near, np.arange(len(rows))], near))
+            rows, ids, vectors, table = rows[order], ids[order], vectors[order], table[:, order]
         self.rows, self.ids, self.vectors = rows, ids, vectors
-        self.pivots = pivots.astype(np.float64)
         self.norms = (vectors.astype(np.float64) ** 2).sum(1)
-        self.table = self.distances(vectors)
-        most = float(np.abs(vectors).max(initial=0))
-        self.exact = vectors.astype(np.float64) if most * most * max(1, vectors.shape[1]) < 2**53 else vectors
+        self.table = table.astype(np.float32)
+        self.longest = float((self.pivots**2).sum(1).max(initial=0)) if self.pivots.size else 0.0
+        self.cuts = np.arange(0, len(rows), block)
+        self.most = float(np.abs(vectors).max(initial=0))
+        self.exact = vectors.astype(np.float64) if self.most * self.most * max(1, vectors.shape[1]) < 2**53 else vectors
+        self._least, self._gap = np.empty(len(rows), np.float32), np.empty(len(rows), np.float32)
 
     def distances(self, v: np.ndarray) -> np.ndarray:
         x = v.astype(np.float64)
@@ -78,30 +86,40 @@ class PivotTable:
 
     def bounds(self, query: np.ndarray, to_pivots: np.ndarray) -> np.ndarray:
         """Upper bounds of the inner products with all candidates, rounding allowed for."""
-        least = np.zeros(len(self.ids))
-        for p in range(len(self.pivots)):
-            np.maximum(least, np.abs(self.table[p] - to_pivots[p]), out=least)
+        self._least[:] = 0
+        for own, d in zip(self.table, to_pivots.astype(np.float32), strict=True):
+            np.subtract(own, d, out=self._gap)
+            np.abs(self._gap, out=self._gap)
+            np.maximum(self._least, self._gap, out=self._least)
         norm = float((query.astype(np.float64) ** 2).sum())
-        slack = 1e-7 * (norm + self.norms) + 1e-3
-        return (norm + self.norms - np.maximum(least**2 - 2 * slack, 0)) / 2 + slack
+        slack = 4e-6 * (norm + self.norms + self.longest) + 1e-3
+        return (norm + self.norms - np.square(self._least, dtype=np.float64)) / 2 + slack
 
     def best(self, own: int, query: np.ndarray, to_pivots: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray, int]:
         """ids and scores of the k best (of those at `floor` or more) but for the row `own`, and how many candidates were evaluated."""
-        upper = self.bounds(query, to_pivots)
-        alive = np.flatnonzero((upper >= floor) & (self.rows != own))
-        order = alive[np.argsort(-upper[alive], kind="stable")]
-        ids, scores, done, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 128
-        q = query.astype(np.float64) if self.exact.dtype == np.float64 and float(np.abs(query).max(initial=0)) * float(np.abs(self.exact).max(initial=0)) * max(1, len(query)) < 2**53 else query
-        vectors = self.exact if q.dtype == np.float64 else self.vectors
-        while done < len(order) and not (len(scores) == k and upper[order[done]] < scores[-1]):
-            now = order[done : done + step]
-            done, step = done + len(now), step * 2
-            s = (vectors[now] @ q).astype(np.int64)
-            ids, scores = np.concatenate((ids, self.ids[now])), np.concatenate((scores, s))
-            keep = np.lexsort((ids, -scores))[:k]
-            ids, scores = ids[keep], scores[keep]
-        good = scores >= floor
-        return ids[good], scores[good], done
+        ids, scores, done = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        if not len(self.rows):
+            return ids, scores, done
+        top = np.maximum.reduceat(self.bounds(query, to_pivots), self.cuts)
+        order = np.argsort(-top, kind="stable")
+        order = order[top[order] >= floor]
+        exact = self.exact.dtype == np.float64 and float(np.abs(query).max(initial=0)) * self.most * max(1, len(query)) < 2**53
+        q, vectors = (query.astype(np.float64), self.exact) if exact else (query, self.vectors)
+        least = floor
+        for b in order:
+            if len(scores) == k and top[b] < scores[-1]:
+                break
+            low, high = self.cuts[b], min(self.cuts[b] + self.block, len(self.rows))
+            done += int(high - low)
+            s = vectors[low:high] @ q
+            good = np.flatnonzero((s >= least) & (self.rows[low:high] != own))
+            if len(good):
+                ids, scores = np.concatenate((ids, self.ids[low + good])), np.concatenate((scores, s[good].astype(np.int64)))
+                keep = np.lexsort((ids, -scores))[:k]
+                ids, scores = ids[keep], scores[keep]
+                if len(scores) == k:
+                    least = max(floor, scores[-1])
+        return ids, scores, done
 
 
 def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
