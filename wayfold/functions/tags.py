@@ -1,9 +1,11 @@
-"""Column functions that clean and classify road tags. All of them are built-in expressions, inside code generation."""
+"""Column functions that clean and classify road tags. All but `slug` are built-in expressions, inside code generation."""
 
 from __future__ import annotations
 
 from itertools import chain
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,13 +80,15 @@ def clean_code(c: Column | str) -> Column:
     return F.when(F.upper(s).isin(*V.EMPTY_CODES), F.lit(None).cast("string")).otherwise(s)
 
 
-_ACCENTED, _PLAIN = "àáâãäåèéêëìíîïòóôõöùúûüýÿçñ", "aaaaaaeeeeiiiiooooouuuuyycn"
+@F.arrow_udf(T.StringType())
+def decomposed(texts: pa.Array) -> pa.Array:
+    """Unicode's compatibility decomposition (NFKD): letters apart from their accents. Spark has no such function; Arrow has."""
+    return pc.utf8_normalize(texts.cast(pa.string()), "NFKD")
 
 
 def slug(c: Column | str) -> Column:
-    """Lower-case ASCII words joined by `_`; Latin letters lose their accents, other letters go."""
-    plain = F.translate(F.lower(_col(c)), _ACCENTED, _PLAIN)
-    ascii_ = F.regexp_replace(plain, r"[^\x00-\x7F]", "")
+    """Lower-case ASCII words joined by `_`; letters lose their accents, characters without an ASCII form go."""
+    ascii_ = F.lower(F.regexp_replace(decomposed(_col(c)), r"[^\x00-\x7F]", ""))
     return F.regexp_replace(F.regexp_replace(ascii_, "[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
@@ -115,6 +119,11 @@ def without_scheme(c: Column | str) -> Column:
     return F.regexp_replace(_col(c), "^dbfs:", "")
 
 
+def run_columns(run_id: str, source_year: int) -> dict[str, Column]:
+    """Columns that name the run a row came from."""
+    return {"source_year": F.lit(source_year).cast("long"), "run_id": F.lit(run_id)}
+
+
 def one_line(df: DataFrame, keep: tuple[str, ...] = ("geometry",)) -> DataFrame:
     """Line breaks in string columns become one space; `keep` columns stay."""
     fields = {f.name: f.dataType for f in df.schema.fields}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,14 +16,24 @@ def repeated(copies: DataFrame) -> DataFrame:
     return found.where("low <> high").select("osm_id", "best")
 
 
-def without_repeats(copies: DataFrame, best: DataFrame | None = None, broadcast_rows: int = 5_000_000) -> DataFrame:
-    """Keeps, of each repeated id, the rows of its best extract. The side of repeated ids is broadcast only after its count is known to be at most
-    `broadcast_rows` and its estimated size fits the session's broadcast threshold; else it is a shuffled join."""
+def without_repeats(copies: DataFrame, best: DataFrame | None = None) -> DataFrame:
+    """Keeps, of each repeated id, the rows of its best extract. Whether the side of repeated ids is broadcast follows from its size at run time, under the session's threshold."""
     best = repeated(copies) if best is None else best
     joined = copies.join(best, "osm_id", "left")
     return joined.where(F.col("best").isNull() | (F.col("best") == F.col("extract"))).drop("best")
 
 
+def chosen_codes(dimension: DataFrame, wanted: list[str], *columns: str) -> tuple[DataFrame, list[str]]:
+    """The rows of a dimension that one of the wanted codes names in any of `columns`, whatever case and blanks, and the codes that name none, of which a warning tells."""
+    codes = sorted({w.strip().upper() for w in wanted if w and w.strip()})
+    names = F.array(*[F.upper(F.trim(c)) for c in columns])
+    held = {r[0] for r in dimension.select(F.explode(names).alias("c")).where(F.col("c").isin(codes)).distinct().collect()} if codes else set()
+    unknown = [c for c in codes if c not in held]
+    if unknown:
+        warnings.warn(f"no country has these codes: {', '.join(unknown)}", stacklevel=2)
+    return dimension.where(F.arrays_overlap(names, F.array(*map(F.lit, codes)).cast("array<string>"))), unknown
+
+
 def latest(df: DataFrame, key: list[str], order: list) -> DataFrame:
     """The first row of each key in the given order."""
     w = Window.partitionBy(*key).orderBy(*order)

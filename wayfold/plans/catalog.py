@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,26 +12,10 @@ from wayfold.functions import geometry as G
 from wayfold.functions import tags as N
 from wayfold.functions import values as V
 from wayfold.operators import coverage, dedup, spatial
+from wayfold.plans.registry import ORACLES, QUERIES, query  # noqa: F401  ORACLES and QUERIES are read from here
 from wayfold.sources import readers
-from wayfold.sources.fixtures import duckdb_text, table, view
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None, uses: str = "") -> Callable[[Query], Query]:
-    """Registers a query; `uses` names the derived views that its SQL reads."""
-
-    def add(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql is not None:
-            views = ", ".join(f"{v} AS ({duckdb_text(v)})" for v in uses.split())
-            ORACLES[name] = f"WITH {views} {sql}" if views and not sql.lstrip().startswith("WITH+") else sql.replace("WITH+", f"WITH {views}," if views else "WITH", 1)
-        return f
-
-    return add
-
+from wayfold.sources.fixtures import table, view
+from wayfold.streaming import ingest
 
 def _list(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
@@ -221,9 +204,9 @@ def decimals(spark, d):
     return table(spark, d, "orders").select("o_orderkey", N.decimal_km("o_totalprice").alias("km"))
 
 
-@query("fn13_slug", "SELECT p_partkey, regexp_replace(regexp_replace(lower(p_name || ' / ' || p_type), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS slug FROM part")
+@query("fn13_slug", "SELECT p_partkey, regexp_replace(regexp_replace(lower(regexp_replace(strip_accents('Ñandú ' || p_name || ' / Åre–' || p_type), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS slug FROM part")
 def slugs(spark, d):
-    return table(spark, d, "part").select("p_partkey", N.slug(F.concat_ws(" / ", "p_name", "p_type")).alias("slug"))
+    return table(spark, d, "part").select("p_partkey", N.slug(F.concat(F.lit("Ñandú "), "p_name", F.lit(" / Åre–"), "p_type")).alias("slug"))
 
 
 @query("fn14_readable_name", "SELECT n_name, CASE n_nationkey % 3 WHEN 0 THEN 'Democratic Republic of the ' || n_name ELSE n_name END AS readable FROM nation")
@@ -306,10 +289,17 @@ def edited_since(spark, d):
     return view(spark, d, "road_tags").where(F.col("osm_ts") >= 1700100000).select("osm_id", "osm_ts")
 
 
-@query("flt5_countries", "SELECT osm_id, country FROM road_tags WHERE country IN ('NATION_3', 'NATION_7')", "road_tags")
+@query("flt5_countries", "SELECT osm_id, country FROM road_tags WHERE country IN ('NATION_3', 'NATION_7', 'NATION_11')", "road_tags")
 def chosen_countries(spark, d):
-    wanted = spark.createDataFrame([("n3", "NATION_3"), ("n7", "NATION_7"), ("zz", None)], "alias string, country string").where("country IS NOT NULL")
-    return view(spark, d, "road_tags").join(F.broadcast(wanted), "country", "left_semi").select("osm_id", "country")
+    k = F.col("n_nationkey").cast("string")
+    dimension = table(spark, d, "nation").select(F.concat(F.lit("N"), k).alias("iso2"), F.concat(F.lit("NA"), F.lpad(k, 2, "0")).alias("iso3"), "n_name")
+    chosen, _ = dedup.chosen_codes(dimension, ["n3 ", "NA07", "NA11", "N11"], "iso2", "iso3")
+    return view(spark, d, "road_tags").join(chosen.select(F.col("n_name").alias("country")), "country", "left_semi").select("osm_id", "country")
+
+
+@query("fn27_run_columns", "SELECT n_nationkey, CAST(2024 AS BIGINT) AS source_year, 'run-7' AS run_id FROM nation")
+def run_columns(spark, d):
+    return table(spark, d, "nation").select("n_nationkey").withColumns(N.run_columns("run-7", 2024))
 
 
 @query("flt6_nulls", "SELECT count(*) FILTER (WHERE surface IS NULL) AS without, count(*) FILTER (WHERE surface IS NOT NULL) AS with_ FROM road_tags", "road_tags")
@@ -363,13 +353,6 @@ def dimension(spark, d):
     return view(spark, d, "roads").select("osm_id", "country").join(dim, "country", "left").select("osm_id", "country", "region")
 
 
-@query("jn3_snk10_buckets", "SELECT country, greatest(1, CAST(ceil(count(*)/450.0) AS BIGINT)) AS nb, CAST(count(*) AS BIGINT) AS n FROM roads GROUP BY country", "roads")
-def bucket_counts(spark, d):
-    r = view(spark, d, "roads").select("osm_id", "country")
-    nb = r.groupBy("country").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(0.9 * 500))).cast("long").alias("nb"))
-    return r.join(nb, "country").groupBy("country", "nb").agg(F.count("*").alias("n"))
-
-
 @query("jn5_reconcile", "SELECT o_custkey, count(*) AS a, max(c_acctbal) AS b FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1")
 def reconcile(spark, d):
     o = table(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("a"))
@@ -456,6 +439,22 @@ def tile_state(spark, d):
     return dedup.tile_state(t, "new").select("iso2", "tile", "status", "other_job")
 
 
+@query("inc6_own_job", "WITH+ t AS (SELECT *, CASE WHEN event_id % 97 = 0 THEN 'old' ELSE 'new' END AS job_key FROM run_log) SELECT iso2, event_id FROM t WHERE iso2 NOT IN (SELECT iso2 FROM t WHERE job_key <> 'new')", "run_log")
+def own_job(spark, d):
+    t = view(spark, d, "run_log").withColumn("job_key", F.when(F.col("event_id") % 97 == 0, "old").otherwise("new"))
+    return ingest.of_job(t, t, "new").select("iso2", "event_id")
+
+
+@query("inc4_markers", "SELECT 'f' || CAST(c_custkey AS VARCHAR) AS name FROM customer WHERE NOT (c_custkey % 3 = 0 AND c_custkey % 5 <> 0 AND c_custkey % 7 <> 0)")
+def markers(spark, d):
+    """Files whose marker is of the same size, time and boundary are done; a third have a marker, some of those of another size or boundary."""
+    k = F.col("c_custkey")
+    named = table(spark, d, "customer").select(k, F.concat(F.lit("f"), k.cast("string")).alias("name"), F.concat(F.lit("/in/"), k.cast("string")).alias("path"), (k * 10).alias("bytes"), F.timestamp_seconds(k).alias("modified"))
+    found = named.drop("c_custkey")
+    done = ingest.markers(named.where(k % 3 == 0).withColumn("bytes", F.when(k % 5 == 0, F.lit(1)).otherwise(F.col("bytes"))), "b1").withColumn("boundary", F.when(k % 7 == 0, "b0").otherwise(F.col("boundary"))).drop("c_custkey")
+    return ingest.unprocessed(found, done, "b1").select("name")
+
+
 @query("inc8_retry", "SELECT iso2, event_id FROM (" + _LATEST.format(where="") + ") WHERE status = 'FAILED'", "run_log")
 def retry(spark, d):
     last = dedup.latest(view(spark, d, "run_log"), ["iso2"], [F.desc("run_ts"), F.desc("event_id")])
@@ -747,10 +746,4 @@ def local_rows(spark, d):
     return table(spark, d, "nation").select("n_name").join(F.broadcast(rows), "n_name", "left")
 
 
-@query("snk6_even_parts", "SELECT part, count(*) AS rows FROM (SELECT ntile(7) OVER (ORDER BY o_orderkey) AS part FROM orders) GROUP BY part")
-def even_parts(spark, d):
-    parts = table(spark, d, "orders").withColumn("at", F.row_number().over(Window.orderBy("o_orderkey")) - 1)
-    size = parts.count()
-    big, least = size % 7, size // 7
-    part = F.when(F.col("at") < big * (least + 1), F.floor(F.col("at") / (least + 1))).otherwise(big + F.floor((F.col("at") - big * (least + 1)) / max(least, 1))) + 1
-    return parts.groupBy(part.cast("long").alias("part")).agg(F.count("*").alias("rows"))
+from wayfold.plans import roundtrips  # noqa: E402, F401  registers its queries

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wayfold.operators.dedup import latest
 from wayfold.sources.readers import geojson_lines
+from wayfold.sources.store import exists
 
 
 def stream_geojson(spark: SparkSession, folder: str, target: str, checkpoint: str, files_per_batch: int = 100) -> StreamingQuery:
@@ -38,9 +39,42 @@ def pending(work: DataFrame, log: DataFrame, resume: bool = True) -> DataFrame:
     return work.join(done.select("iso2"), "iso2", "left_anti")
 
 
-def run_units(spark: SparkSession, units: list[str], build: Callable[[str], DataFrame], target: str, log: str, retries: int = 1) -> DataFrame:
+def markers(found: DataFrame, boundary: str) -> DataFrame:
+    """What a finished file leaves behind (found: name, path, bytes, modified): its signature and the fingerprint of the boundaries that it was read with."""
+    signature = F.sha1(F.concat_ws("|", "path", F.col("bytes").cast("string"), F.unix_micros("modified").cast("string")))
+    return found.withColumns({"signature": signature, "boundary": F.lit(boundary)})
+
+
+def unprocessed(found: DataFrame, done: DataFrame, boundary: str) -> DataFrame:
+    """Files without a marker of the same name, signature and boundary."""
+    keys = ["name", "signature", "boundary"]
+    return markers(found, boundary).join(done.select(keys).distinct(), keys, "left_anti").select(found.columns)
+
+
+def of_job(rows: DataFrame, log: DataFrame, job_key: str, key: str = "iso2") -> DataFrame:
+    """Rows of those keys all of whose log rows are of this job: what another job began is not carried on but made anew."""
+    others = log.where(~F.col("job_key").eqNullSafe(F.lit(job_key))).select(key).distinct()
+    return rows.join(others, key, "left_anti").select(rows.columns)
+
+
+def wipe_other_jobs(spark: SparkSession, table: str, log: DataFrame, job_key: str, key: str = "iso2") -> list[str]:
+    """Drops from a partitioned table the partitions of keys that another job worked on; returns them. Keys are dimension-sized."""
+    gone = sorted(str(r[0]) for r in log.where(~F.col("job_key").eqNullSafe(F.lit(job_key))).select(key).distinct().collect() if r[0] is not None)
+    for value in gone:
+        quoted = value.replace("'", "''")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({key}='{quoted}')")
+    return gone
+
+
+def run_units(spark: SparkSession, units: list[str], build: Callable[[str], DataFrame], target: str, log: str, retries: int = 1, mode: str = "force") -> DataFrame:
     """Builds each unit into its own partition folder. A unit is written aside and then moved into place, so a killed run leaves no half of it; a failure becomes
-    a log row and the loop goes on; failed units get `retries` more passes. Units are dimension-sized; the work inside one is a Spark job."""
+    a log row and the loop goes on; failed units get `retries` more passes. mode: 'force' builds all, 'resume' leaves out units whose latest row in the log is a success.
+    Units are dimension-sized; the work inside one is a Spark job."""
+    if mode not in ("force", "resume"):
+        raise ValueError(f"no such mode: {mode}")
+    if mode == "resume" and exists(log):
+        left = {r.iso2 for r in pending(spark.createDataFrame([(u,) for u in units], "iso2 string"), spark.read.parquet(log)).collect()}
+        units = [u for u in units if u in left]
     path = spark._jvm.org.apache.hadoop.fs.Path
     conf = spark._jsc.hadoopConfiguration()
     todo, rows = list(units), []
