@@ -106,10 +106,10 @@ def test_lines_equal_the_plain_grammar():
             assert lines.good[i] == (want is not None) and got == [p.tolist() for p in want or []], t
 
 
-def test_vertices(spark):
+def test_segments(spark):
     df = spark.createDataFrame([(1, "MULTILINESTRING ((0 0, 1 0), (5 0, 6 0, 7 1))"), (2, "x"), (3, None), (4, "LINESTRING (1 2, 3 4)")], "k int, w string")
-    got = {r.k: None if r.v is None else [(v.part, v.i, v.x, v.y) for v in r.v] for r in df.select("k", G.line_vertices("w").alias("v")).collect()}
-    assert got == {1: [(0, 0, 0, 0), (0, 1, 1, 0), (1, 0, 5, 0), (1, 1, 6, 0), (1, 2, 7, 1)], 2: None, 3: None, 4: [(0, 0, 1, 2), (0, 1, 3, 4)]}
+    got = {r.k: None if r.v is None else [tuple(v) for v in r.v] for r in df.select("k", G.line_segments("w").alias("v")).collect()}
+    assert got == {1: [(0, 0, 1, 0, True), (5, 0, 6, 0, False), (6, 0, 7, 1, True)], 2: None, 3: None, 4: [(1, 2, 3, 4, True)]}
 
 
 def test_inside_does_not_depend_on_slabs(spark):

@@ -23,15 +23,20 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def seven_decimals(v: Column) -> Column:
+    """Number text with seven decimals. By way of a decimal, which is far cheaper than a formatter; what a decimal would write with an exponent, or cannot hold, is left to one."""
+    return F.coalesce(F.when(F.abs(v) >= 1e-5, v.try_cast("decimal(18,7)").cast("string")), F.format_string("%.7f", v))
+
+
 def wkt_line(points: Column | str) -> Column:
     """LINESTRING text of an array of (x, y) structs, seven decimals."""
-    return F.concat(F.lit("LINESTRING ("), F.array_join(F.transform(_col(points), lambda p: F.format_string("%.7f %.7f", p["x"], p["y"])), ", "), F.lit(")"))
+    return F.concat(F.lit("LINESTRING ("), F.array_join(F.transform(_col(points), lambda p: F.concat(seven_decimals(p["x"]), F.lit(" "), seven_decimals(p["y"]))), ", "), F.lit(")"))
 
 
 def wkt_trimmed(flat: Column | str) -> Column:
     """LINESTRING text of a flat array x0, y0, x1, y1, ...; seven decimals, zeros at the end trimmed."""
     c = _col(flat)
-    short = lambda v: F.regexp_replace(F.format_string("%.7f", v), r"\.?0+$", "")
+    short = lambda v: F.rtrim(F.rtrim(seven_decimals(v), F.lit("0")), F.lit("."))
     pairs = F.transform(F.sequence(F.lit(0), (F.size(c) / 2).cast("int") - 1), lambda i: F.concat(short(F.get(c, 2 * i)), F.lit(" "), short(F.get(c, 2 * i + 1))))
     return F.concat(F.lit("LINESTRING ("), F.array_join(pairs, ", "), F.lit(")"))
 
@@ -243,25 +248,21 @@ def line_length_mid_km(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     yield from _batches(batches, middle_m)
 
 
-_VERTEX = T.StructType([T.StructField(n, t) for n, t in (("part", T.IntegerType()), ("i", T.IntegerType()), ("x", T.DoubleType()), ("y", T.DoubleType()))])
+_SEGMENT = T.StructType([T.StructField(n, T.DoubleType()) for n in ("ax", "ay", "bx", "by")] + [T.StructField("last", T.BooleanType())])
 
 
-@F.arrow_udf(T.ArrayType(_VERTEX))
-def line_vertices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Vertices of WKT lines: the part and the place in it, x and y. Null without a usable line."""
+@F.arrow_udf(T.ArrayType(_SEGMENT))
+def line_segments(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Segments of WKT lines; `last` marks the end of a part. Null without a usable line."""
     for texts in batches:
         lines = parse_lines(texts.cast(pa.string()))
-        order = np.argsort(lines.owner, kind="stable")
-        sizes = np.diff(lines.first)[order]
-        ends = np.cumsum(sizes)
-        inner = np.arange(int(sizes.sum())) - np.repeat(ends - sizes, sizes)
-        at = np.repeat(lines.first[:-1][order], sizes) + inner
-        owner = lines.owner[order]
-        part = np.arange(len(owner)) - np.searchsorted(owner, owner)
-        counts = np.bincount(owner, sizes, minlength=len(texts)).astype(np.int64)
-        cells = pa.StructArray.from_arrays([pa.array(np.repeat(part, sizes).astype(np.int32)), pa.array(inner.astype(np.int32)), pa.array(lines.xy[at, 0]), pa.array(lines.xy[at, 1])], ["part", "i", "x", "y"])
-        offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32), mask=np.append(~lines.good, False))
-        yield pa.ListArray.from_arrays(offsets, cells)
+        a, b, owner = lines.segments()
+        last = np.zeros(len(a), bool)
+        last[np.cumsum(np.diff(lines.first) - 1) - 1] = True
+        order = np.argsort(owner, kind="stable")
+        cells = pa.StructArray.from_arrays([pa.array(v[order]) for v in (a[:, 0], a[:, 1], b[:, 0], b[:, 1], last)], ["ax", "ay", "bx", "by", "last"])
+        cuts = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(texts))))).astype(np.int32)
+        yield pa.ListArray.from_arrays(pa.array(cuts, mask=np.append(~lines.good, False)), cells)
 
 
 def exact_km(texts: pd.Series) -> pd.Series:

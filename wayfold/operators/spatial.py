@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wayfold.functions.geometry import line_vertices
+from wayfold.functions.geometry import line_segments
 
 WORLD = 180.0
 BLOCK_DEG, EDGES_A_SLAB, THINNEST = 15.0, 256, 1000
@@ -31,15 +31,16 @@ def resolution(edges: DataFrame) -> int:
     return max(1, min(THINNEST, int(row.n / (max(row.span or 0.0, 1.0) * EDGES_A_SLAB))))
 
 
-def inside(points: DataFrame, edges: DataFrame, res: int | None = None) -> DataFrame:
-    """(pid, unit) for each polygon that holds the point, by counting the edges that a ray to the east crosses (even-odd, holes included)."""
+def inside(points: DataFrame, edges: DataFrame, res: int | None = None, on: tuple[str, ...] = ()) -> DataFrame:
+    """(pid, unit) for each polygon that holds the point, by counting the edges that a ray to the east crosses (even-odd, holes included). on: columns of both that must be
+    equal, where a point asks for some polygons only."""
     res = resolution(edges) if res is None else res
     block = lambda x: F.floor(x / F.lit(BLOCK_DEG)).cast("int")
     used = usable_edges(edges)
     west = used.groupBy("unit").agg(F.min(F.least("x1", "x2")).alias("west"))
     cut = used.where("y1 <> y2").join(west, "unit").withColumn("slab", F.explode(F.sequence(slab(F.least("y1", "y2"), res), slab(F.greatest("y1", "y2"), res))))
     cut = cut.withColumn("block", F.explode(F.sequence(block(F.col("west")), block(F.greatest("x1", "x2"))))).drop("west")
-    met = points.withColumn("slab", slab(F.col("y"), res)).withColumn("block", block(F.col("x"))).join(cut, ["slab", "block"])
+    met = points.withColumn("slab", slab(F.col("y"), res)).withColumn("block", block(F.col("x"))).join(cut, ["slab", "block", *on])
     crosses = ((F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))) & (F.col("x") < F.col("x1") + (F.col("y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1")))
     return met.where(crosses).groupBy("pid", "unit").agg(F.count("*").alias("n")).where("n % 2 = 1").select("pid", "unit")
 
@@ -118,12 +119,9 @@ def merged_units(edges: DataFrame, keys: DataFrame) -> DataFrame:
     return edges.join(named, "unit", "left").withColumn("unit", F.coalesce("merged", "unit")).select(edges.columns)
 
 
-def near_units(lines: DataFrame, edges: DataFrame, distance: float, cell: float = 1.0) -> DataFrame:
-    """(id, unit) of lines (id, i, x, y vertices) that touch a polygon widened by `distance` degrees: an inside vertex, or a segment close enough to an edge."""
-    held = inside(lines.select(F.struct("id", "i").alias("pid"), "x", "y"), edges).select("pid.id", "unit")
-    nxt = Window.partitionBy("id").orderBy("i")
-    segs = lines.select("id", F.col("x").alias("ax"), F.col("y").alias("ay"), F.lead("x").over(nxt).alias("bx"), F.lead("y").over(nxt).alias("by")).where("bx IS NOT NULL")
-    met = walked(segs, ("ax", "ay", "bx", "by"), cell, distance, F.lit(distance)).join(walked(usable_edges(edges), ("x1", "y1", "x2", "y2"), cell, 0.0, F.lit(0.0)), ["cy", "cx"])
+def _segments_near(segs: DataFrame, edges: DataFrame, distance: float, cell: float, on: tuple[str, ...] = ()) -> DataFrame:
+    """(id, unit) of segments (id, ax, ay, bx, by) that cross an edge or come within `distance` degrees of it."""
+    met = walked(segs, ("ax", "ay", "bx", "by"), cell, distance, F.lit(distance)).join(walked(usable_edges(edges), ("x1", "y1", "x2", "y2"), cell, 0.0, F.lit(0.0)), ["cy", "cx", *on])
     side = lambda ax, ay, bx, by, cx, cy: (F.col(bx) - F.col(ax)) * (F.col(cy) - F.col(ay)) - (F.col(by) - F.col(ay)) * (F.col(cx) - F.col(ax))
 
     def away(px: str, py: str, x1: str, y1: str, x2: str, y2: str) -> Column:
@@ -133,27 +131,33 @@ def near_units(lines: DataFrame, edges: DataFrame, distance: float, cell: float
 
     crossing = (side("ax", "ay", "bx", "by", "x1", "y1") * side("ax", "ay", "bx", "by", "x2", "y2") < 0) & (side("x1", "y1", "x2", "y2", "ax", "ay") * side("x1", "y1", "x2", "y2", "bx", "by") < 0)
     gap = F.least(away("ax", "ay", "x1", "y1", "x2", "y2"), away("bx", "by", "x1", "y1", "x2", "y2"), away("x1", "y1", "ax", "ay", "bx", "by"), away("x2", "y2", "ax", "ay", "bx", "by"))
-    return held.union(met.where(crossing | (gap <= distance)).select("id", "unit")).distinct()
+    return met.where(crossing | (gap <= distance)).select("id", "unit")
 
 
 def touching(lines: DataFrame, edges: DataFrame, distance: float, cell: float = 1.0) -> DataFrame:
-    """Lines (id, unit, i, x, y vertices) that touch the polygon of their own unit widened by `distance` degrees: (id, unit)."""
-    found = near_units(lines.select("id", "i", "x", "y").distinct(), edges, distance, cell)
+    """Lines (id, unit, i, x, y vertices) that touch the polygon of their own unit widened by `distance` degrees, as (id, unit): an inside vertex, or a segment close enough
+    to an edge."""
+    own = lines.select("id", "i", "x", "y").distinct()
+    held = inside(own.select(F.struct("id", "i").alias("pid"), "x", "y"), edges).select("pid.id", "unit")
+    nxt = Window.partitionBy("id").orderBy("i")
+    segs = own.select("id", F.col("x").alias("ax"), F.col("y").alias("ay"), F.lead("x").over(nxt).alias("bx"), F.lead("y").over(nxt).alias("by")).where("bx IS NOT NULL")
+    found = held.union(_segments_near(segs, edges, distance, cell)).distinct()
     return found.join(lines.select("id", "unit").distinct(), ["id", "unit"])
 
 
-def clip(roads: DataFrame, boundaries: DataFrame, distance: float, code: str = "code", key: str = "osm_id", geometry: str = "geometry") -> DataFrame:
+def clip(roads: DataFrame, boundaries: DataFrame, distance: float, code: str = "code", geometry: str = "geometry", cell: float = 1.0) -> DataFrame:
     """The roads, whole, that touch the boundary of their own code (column `code`) widened by `distance` degrees. boundaries: iso_a3, geometry_json, several rows a
-    code, which are united: a road stays if any row's polygons take it. Roads without a usable line or whose code has no boundary go. Rows that repeat a key stay or go
-    each by their own code and line."""
-    texts = roads.select(F.col(code).alias("code_"), F.col(geometry).alias("text_")).distinct().where("code_ IS NOT NULL AND text_ IS NOT NULL")
-    named = texts.withColumn("id", F.struct("code_", "text_"))
-    parts = named.select("id", F.explode(line_vertices("text_")).alias("v"))
-    lines = parts.select(F.struct("id", F.col("v.part").alias("part")).alias("id"), F.col("v.i").alias("i"), F.col("v.x").alias("x"), F.col("v.y").alias("y"))
-    codes = texts.select(F.col("code_").alias("iso_a3")).distinct()
-    found = near_units(lines, geojson_edges(boundaries.join(codes, "iso_a3", "left_semi")), distance)
-    kept = found.where("unit.code = id.id.code_").select(F.col("id.id.code_").alias("code_"), F.col("id.id.text_").alias("text_")).distinct()
-    return roads.join(kept, (roads[code] == kept.code_) & (roads[geometry] == kept.text_), "left_semi")
+    code, which are united: a road stays if any row's polygons take it. Roads without a usable line or whose code has no boundary go. Roads are told apart by code and line
+    (128 bits of both), so that rows which repeat them stay or go together."""
+    name = F.struct(F.xxhash64(code, geometry).alias("a"), F.xxhash64(F.lit("second"), code, geometry).alias("b"))
+    texts = roads.where(F.col(code).isNotNull() & F.col(geometry).isNotNull()).select(name.alias("id"), F.col(code).alias("code_"), F.col(geometry).alias("text_")).dropDuplicates(["id"])
+    edges = geojson_edges(boundaries.join(roads.select(F.col(code).alias("iso_a3")).distinct(), "iso_a3", "left_semi")).withColumn("code_", F.col("unit.code"))
+    segs = texts.select("id", "code_", F.posexplode(line_segments("text_")).alias("at", "s")).select("id", "code_", "at", "s.*")
+    ends = F.array(*[F.struct(F.col(f"{e}x").alias("x"), F.col(f"{e}y").alias("y")) for e in "ab"])
+    points = segs.select("id", "code_", "at", F.posexplode(F.when(F.col("last"), ends).otherwise(F.slice(ends, 1, 1))).alias("end", "p"))
+    held = inside(points.select("code_", F.struct("id", "at", "end").alias("pid"), "p.x", "p.y"), edges, on=("code_",)).select("pid.id")
+    near = _segments_near(segs.select("id", "code_", "ax", "ay", "bx", "by"), edges, distance, cell, on=("code_",)).select("id")
+    return roads.join(held.union(near).distinct().withColumnRenamed("id", "kept_"), name == F.col("kept_"), "left_semi")
 
 
 def ring_clean(points: Column, grid: float | None) -> Column:
