@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfold.sources.store import shared_dir
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -27,19 +27,6 @@ def power_of_two(x: float, least: int, most: int = 1 << 30) -> int:
     return n
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names. Only where it is unset and all is one machine, as in tests, a folder of its own."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if at:
-        return at
-    if spark.sparkContext.getCheckpointDir() is None:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(os.path.join(tempfile.gettempdir(), "wayfold-checkpoints"))
-    return spark.sparkContext.getCheckpointDir()
-
-
 class Scratch:
     """Named tables of one run in the shared folder, which survive lost executors and cut lineage. (A checkpoint would cut it too, but its frame keeps the size
     estimates of the plan before it; those of joins are products, and over rounds they become numbers that planning cannot handle.) A table goes when it is dropped

@@ -19,6 +19,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii(documents(spark, sf_dir))
 
 
+def op2_pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op2 SQL can express: the counts and the hash of the base spans."""
+    return op2_pii(spark, sf_dir).drop("spans")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), shingle=4, threshold=0.8)
 
@@ -27,6 +32,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(documents(spark, sf_dir))
 
 
+def op4_secret_scan_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op4 SQL can express: the counts and the hash of the base spans."""
+    return op4_secret_scan(spark, sf_dir).drop("spans")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -58,8 +68,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pivot_top_k": op1_pivot_top_k,
     "op2_pii": op2_pii,
+    "op2_pii_base": op2_pii_base,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_secret_scan": op4_secret_scan,
+    "op4_secret_scan_base": op4_secret_scan_base,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_decontamination": op6_decontamination,
     "op6_proximity": op6_proximity,
