@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from plain import contamination_rows, near_duplicate_rows
 from pyspark.sql import functions as F
 
 from wayfold.llm import arrowtext as at
@@ -50,32 +51,6 @@ def test_long_word_has_the_same_hash_in_pieces():
     assert len(h) == 3 and h[1] == h[2] != h[0]
 
 
-def near_duplicate_rows(rows, n):
-    """Brute force: every pair of texts, then the smallest doc_id reachable."""
-    def grams(t):
-        w = (t or "").encode().lower().split()
-        return frozenset(tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))) if w else frozenset()
-
-    sets = [grams(t) for _, t in rows]
-    root = list(range(len(rows)))
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    able = [k for k, (i, _) in enumerate(rows) if i is not None and sets[k]]
-    for x in able:
-        for y in able:
-            if x < y and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
-                a, b = find(x), find(y)
-                root[max(a, b)] = min(a, b)
-    least = {}
-    for k in able:
-        least[find(k)] = min(least.get(find(k), rows[k][0]), rows[k][0])
-    return Counter((i, len(sets[k]), None if i is None else least.get(find(k), i), i is None or least.get(find(k), i) == i) for k, (i, _) in enumerate(rows))
-
-
 @pytest.mark.parametrize("n", [4, 5])
 def test_near_duplicates(spark, n):
     rows = corpus(n)
@@ -196,26 +171,7 @@ def test_decontamination(spark):
     rows = corpus(8)
     items = [(1, " ".join(rows[20][1].split()[:25]).upper()), (2, "one two"), (3, None), (4, " - "), (5, rows[30][1]), (5, rows[30][1]), (None, rows[31][1]), (10, rows[20][1])]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    rx = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    windows = {}
-    for i, t in items:
-        w = rx.findall((t or "").translate(fold))
-        m = min(13, len(w))
-        for k in range(len(w) - m + 1 if m else 0):
-            windows.setdefault(tuple(w[k : k + m]), set()).add(i)
-    want = Counter()
-    for i, t in rows:
-        w = rx.findall((t or "").translate(fold))
-        hit, found = [False] * len(w), set()
-        for m in {len(k) for k in windows}:
-            for k in range(len(w) - m + 1):
-                if tuple(w[k : k + m]) in windows:
-                    found |= windows[tuple(w[k : k + m])]
-                    hit[k : k + m] = [True] * m
-        found.discard(None)
-        n = sum(hit)
-        want[(i, len(w), n, len(found), hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest(), n > 0 and 20 * n >= len(w))] += 1
+    want = contamination_rows(rows, items)
     assert Counter(map(tuple, decontaminate.decontaminate(frame(spark, rows), bench).collect())) == want
     assert Counter(map(tuple, decontaminate.digest(decontaminate.matches(frame(spark, rows), bench, block=200)).collect())) == want
     assert not decontaminate.decontaminate(frame(spark, rows), bench.limit(0)).where("contaminated").count()

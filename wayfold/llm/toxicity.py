@@ -237,9 +237,9 @@ def features(parts: Automaton | list[Automaton], points: np.ndarray, cuts: np.nd
             near = "".join(map(chr, points[starts[low] : ends[h]].tolist())).split()
             quoted[i] = any(w.strip(",.:;!?") in _REPORTING for w in near)
     together = np.zeros(len(hits))
-    for shift in (1, -1):
-        other = np.roll(hits, shift)
-        together += (np.abs(other - hits) <= 3 * WINDOW) & (np.roll(doc, shift) == doc) & (other != hits)
+    beside = (np.diff(hits) <= 3 * WINDOW) & (np.diff(doc) == 0)  # of neighbouring hits, whether they are near each other in one text
+    together[1:] += beside
+    together[:-1] += beside
     for column, mask in enumerate((~quoted & (kind[hits] == EXACT), ~quoted & (kind[hits] == MISSPELLED), ~quoted & (kind[hits] == BEGINNING), quoted)):
         out[:, column] = np.log1p(np.bincount(doc[mask], minlength=len(out)))
     weight = weight[hits]
