@@ -1,14 +1,14 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-`build_index` cuts the corpus into segments of at most 8 MB of text. A segment is a row with its documents, their word bounds and, for every term
-of the vocabulary, the sorted positions of the term: postings, kept as one array ordered by term and position. `phrases`
+`build_index` cuts the corpus into segments of at most 8 MB of text. A segment is a row with its documents, their word bounds and, for every term,
+the sorted positions of the term: postings, kept as one array ordered by term and position. The index knows nothing of a benchmark, and serves any. `phrases`
 looks for test windows: in each segment it takes a window's terms from the rarest on and intersects their offset-adjusted posting
 lists, so that a window with a term that the segment lacks costs one look-up. `proximity` finds looser traces: most of the rarest terms of a
 window, in order, within some slack; the contract's columns are exact ones, and `near_matches` returns these.
 
-Cost: texts are read once; only postings of test terms are stored; no shuffle. A benchmark is taken in blocks of at most `BLOCK` bytes of
-text, items whole, each small enough for every task (a window takes about 110 bytes, so a block some 60 MB); with more than one block the index holds all terms and
-is searched once a block, and the blocks' matches are merged by segment. The matches of one and of several blocks are the same.
+Cost: texts are read once; the postings take about as much disk as the texts; no shuffle. A benchmark is taken in blocks of at most `BLOCK` bytes of
+text, items whole, each small enough for every task (a window takes about 110 bytes, so a block some 60 MB); the index is searched once a block, and the
+blocks' matches are merged by segment. The matches of one and of several blocks are the same.
 
 Defined cases: null text has no words (n_words 0, no hits); a null item_id counts for hits but not among the items; repeated items count
 once; repeated documents are judged each; extra columns are ignored; without items nothing is contaminated.
@@ -35,21 +35,17 @@ _FOUND = "segment string, doc int, doc_id long, text_hash long, n_words long, hi
 _FOUND_ARROW = pa.schema([("segment", pa.string()), ("doc", pa.int32()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_words", pa.int64()), ("hits", pa.binary()), ("items", pa.list_(pa.int64()))])
 
 
-def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None) -> DataFrame:
-    """Segments of the positional index, stored in the shared folder. vocabulary: sorted term hashes to keep; None keeps all."""
+def build_index(docs: DataFrame) -> DataFrame:
+    """Segments of the positional index, stored in the shared folder."""
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in at.chunks(batches):
             found = at.words(chunk.data, chunk.offsets, at.ALNUM)
-            terms, positions = found.hashes, np.arange(len(found.hashes), dtype=np.int32)
-            if vocabulary is not None:
-                kept = _member(terms, vocabulary)
-                terms, positions = terms[kept], positions[kept]
-            names, which = np.unique(terms, return_inverse=True)
+            names, which = np.unique(found.hashes, return_inverse=True)
             order = np.argsort(which.astype(np.uint16) if len(names) < 1 << 16 else which, kind="stable")
             cuts = np.concatenate(([0], np.cumsum(np.bincount(which, minlength=len(names))))).astype(np.int32)
             column = chunk.rows.column(0)
-            cells = [np.asarray(column.fill_null(0), np.int64), np.asarray(column.is_valid()).astype(np.uint8), np.asarray(chunk.rows.column(2), np.int64), found.first.astype(np.int32), names, cuts, positions[order]]
+            cells = [np.asarray(column.fill_null(0), np.int64), np.asarray(column.is_valid()).astype(np.uint8), np.asarray(chunk.rows.column(2), np.int64), found.first.astype(np.int32), names, cuts, order.astype(np.int32)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([uuid.uuid4().hex]), pa.array([chunk.rows.num_rows], pa.int32()), *(pa.array([c.tobytes()], pa.binary()) for c in cells)], schema=_SEGMENT_ARROW
             )
@@ -96,6 +92,12 @@ class Windows:
         self.vocabulary = np.unique(self.terms[used])
 
 
+def _each(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch, one in memory at a time."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 class Segment:
     """A stored segment, opened."""
 
@@ -176,7 +178,7 @@ def phrases(index: DataFrame, windows: Windows) -> DataFrame:
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _each(batch):
                 s = Segment(row)
                 steps, held = np.zeros(int(s.first[-1]) + 1, np.int64), [np.zeros((2, 0), np.int64)]
                 for window, start in match(s, windows):
@@ -203,7 +205,7 @@ def frequencies(index: DataFrame, windows: Windows) -> np.ndarray:
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _each(batch):
                 terms, counts = np.frombuffer(row["terms"], U64), np.diff(np.frombuffer(row["cuts"], np.int32))
                 kept = _member(terms, windows.vocabulary)
                 yield pa.RecordBatch.from_arrays([pa.array(terms[kept].view(np.int64)), pa.array(counts[kept].astype(np.int64))], names=["term", "n"])
@@ -269,7 +271,7 @@ def proximity(index: DataFrame, windows: Windows, terms: int = 4, slack: int = 1
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _each(batch):
                 s = Segment(row)
                 ranks = np.where(chosen >= 0, s.ranks(np.take_along_axis(windows.terms, np.maximum(chosen, 0), 1)), -1) if len(chosen) else chosen
                 held = [np.zeros((2, 0), np.int64)]
@@ -290,7 +292,7 @@ def proximity(index: DataFrame, windows: Windows, terms: int = 4, slack: int = 1
 def near_matches(docs: DataFrame, benchmark: DataFrame, n: int = 13, block: int = BLOCK) -> DataFrame:
     """doc_id, item_id, at: the proximity matches of all items."""
     blocks = list(item_blocks(benchmark, n, block))
-    index = build_index(docs, blocks[0].vocabulary if len(blocks) == 1 else None)
+    index = build_index(docs)
     found = proximity(index, blocks[0])
     for windows in blocks[1:]:
         found = found.unionByName(proximity(index, windows))
@@ -328,7 +330,7 @@ def item_blocks(benchmark: DataFrame, n: int, block: int = BLOCK) -> Iterator[Wi
 def matches(docs: DataFrame, benchmark: DataFrame, n: int = 13, block: int = BLOCK) -> DataFrame:
     """doc_id, text_hash (xxhash64 of the text), n_words, hits (packed bits of the words inside any occurrence of a window), items (item_ids, sorted)."""
     blocks = list(item_blocks(benchmark, n, block))
-    index = build_index(docs, blocks[0].vocabulary if len(blocks) == 1 else None)
+    index = build_index(docs)
     found = phrases(index, blocks[0])
     for windows in blocks[1:]:
         found = found.unionByName(phrases(index, windows))
