@@ -12,11 +12,6 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return F32(0.5) * np.tanh(F32(0.5) * x) + F32(0.5)
 
 
-def _logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
-
-
 class Tagger:
     """ids (batch, time) of `symbols` -> tags 0 .. tags - 1. Tag 0 is outside; odd tags begin a span, the even tag after continues it."""
 
@@ -38,26 +33,28 @@ class Tagger:
     def _forbid(self) -> None:
         self.p["T"][~self.open] = FORBIDDEN
 
-    def _lstm(self, ids: np.ndarray, d: str, keep: bool) -> tuple[np.ndarray, list]:
+    def _lstm(self, ids: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
+        """Hidden states (time, batch, 2 * hidden) of both directions, which run in step: the backward one over the reversed rows."""
         p, n, (batch, time) = self.p, self.hidden, ids.shape
-        table = p["E"] @ p[f"X{d}"] + p[f"B{d}"]
-        h = c = np.zeros((batch, n), F32)
-        out, trace = np.empty((time, batch, n), F32), []
-        for t in range(time) if d == "f" else range(time - 1, -1, -1):
-            z = table[ids[:, t]] + h @ p[f"H{d}"]
-            gates, g = _sigmoid(z[:, : 3 * n]), np.tanh(z[:, 3 * n :])
+        table = np.stack([p["E"] @ p[f"X{d}"] + p[f"B{d}"] for d in "fr"])
+        inner = np.stack([p[f"H{d}"] for d in "fr"])
+        both = np.stack((ids, ids[:, ::-1]))
+        h = c = np.zeros((2, batch, n), F32)
+        out, trace, side = np.empty((time, batch, 2 * n), F32), [], np.arange(2)[:, None]
+        for t in range(time):
+            z = table[side, both[:, :, t]] + h @ inner
+            gates, g = _sigmoid(z[..., : 3 * n]), np.tanh(z[..., 3 * n :])
             before = c
-            c = gates[:, n : 2 * n] * before + gates[:, :n] * g
+            c = gates[..., n : 2 * n] * before + gates[..., :n] * g
             tc = np.tanh(c)
             if keep:
-                trace.append((t, gates, g, before, tc, h))
-            h = gates[:, 2 * n :] * tc
-            out[t] = h
+                trace.append((gates, g, before, tc, h))
+            h = gates[..., 2 * n :] * tc
+            out[t, :, :n], out[time - 1 - t, :, n:] = h
         return out, trace
 
     def emissions(self, ids: np.ndarray) -> np.ndarray:
-        both = [self._lstm(ids, d, False)[0] for d in "fr"]
-        return np.concatenate(both, axis=2) @ self.p["W"] + self.p["b"]
+        return self._lstm(ids, False)[0] @ self.p["W"] + self.p["b"]
 
     def decode_runs(self, emissions: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """The best tag sequence of runs of blocks: emissions (block, time, tag); begins marks the blocks that start a run, and a run starts and ends outside
@@ -104,18 +101,24 @@ class Tagger:
     def gradients(self, ids: np.ndarray, gold: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-likelihood of the gold tags, and its gradients."""
         p, n, (batch, time) = self.p, self.hidden, ids.shape
-        runs = {d: self._lstm(ids, d, True) for d in "fr"}
-        hs = np.concatenate([runs[d][0] for d in "fr"], axis=2)
+        hs, trace = self._lstm(ids, True)
         em = hs @ p["W"] + p["b"]
-        alpha, beta = np.empty_like(em), np.zeros_like(em)
-        alpha[0] = em[0] + p["S"]
-        for t in range(1, time):
-            alpha[t] = _logsumexp(alpha[t - 1][:, :, None] + p["T"][None], 1) + em[t]
+        # forward and backward sums, scaled to one at each step
+        top = em.max(axis=2, keepdims=True)
+        weight, moves = np.exp(em - top), np.exp(p["T"])
+        alpha, beta, scale = np.empty_like(em), np.ones_like(em), np.empty((time, batch, 1), F32)
+        now = weight[0] * np.exp(p["S"])
+        for t in range(time):
+            if t:
+                now = (alpha[t - 1] @ moves) * weight[t]
+            scale[t] = now.sum(axis=1, keepdims=True)
+            alpha[t] = now / scale[t]
+        into = weight / scale
         for t in range(time - 2, -1, -1):
-            beta[t] = _logsumexp(p["T"][None] + (em[t + 1] + beta[t + 1])[:, None, :], 2)
-        log_z = _logsumexp(alpha[-1], 1)
-        d_em = np.exp(alpha + beta - log_z[None, :, None])
-        pair = np.exp(alpha[:-1, :, :, None] + p["T"][None, None] + (em[1:] + beta[1:])[:, :, None, :] - log_z[None, :, None, None]).sum(axis=(0, 1))
+            beta[t] = (into[t + 1] * beta[t + 1]) @ moves.T
+        log_z = (np.log(scale) + top).sum(axis=(0, 2))
+        d_em = alpha * beta
+        pair = moves * (alpha[:-1].reshape(-1, self.tags).T @ (into[1:] * beta[1:]).reshape(-1, self.tags))
         rows, steps = np.arange(batch), np.arange(time)[:, None]
         tags = gold.T.astype(np.int64)
         score = em[steps, rows[None], tags].sum(0) + p["S"][tags[0]] + p["T"][tags[:-1], tags[1:]].sum(0)
@@ -123,19 +126,25 @@ class Tagger:
         d_em[steps, rows[None], tags] -= 1
         g = {"S": d_em[0].sum(0), "T": np.where(self.open, pair, 0).astype(F32), "W": hs.reshape(-1, 2 * n).T @ d_em.reshape(-1, self.tags), "b": d_em.sum((0, 1)), "E": np.zeros_like(p["E"])}
         d_h = d_em @ p["W"].T
-        hot = (ids.T.reshape(-1)[None] == np.arange(len(p["E"]))[:, None]).astype(F32)
-        for k, d in enumerate("fr"):
-            dz_all, dh, dc, d_rec = np.empty((time, batch, 4 * n), F32), np.zeros((batch, n), F32), np.zeros((batch, n), F32), np.zeros_like(p[f"H{d}"])
-            for t, gates, cand, before, tc, h in reversed(runs[d][1]):
-                dh = dh + d_h[t][:, k * n : (k + 1) * n]
-                i, f, o = gates[:, :n], gates[:, n : 2 * n], gates[:, 2 * n :]
-                dc = dc + dh * o * (1 - tc * tc)
-                dz = np.concatenate((dc * cand * i * (1 - i), dc * before * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - cand * cand)), axis=1)
-                d_rec += h.T @ dz
-                dz_all[t] = dz
-                dh, dc = dz @ p[f"H{d}"].T, dc * f
-            table = hot @ dz_all.reshape(-1, 4 * n)
-            g |= {f"H{d}": d_rec, f"X{d}": p["E"].T @ table, f"B{d}": table.sum(0)}
+        d_h = np.stack((d_h[:, :, :n], d_h[::-1, :, n:]), axis=1)  # time, direction, batch, hidden; the backward one in its own order
+        inner = np.stack([p[f"H{d}"].T for d in "fr"])
+        dz_all, dh, dc, d_rec = np.empty((time, 2, batch, 4 * n), F32), np.zeros((2, batch, n), F32), np.zeros((2, batch, n), F32), np.zeros((2, n, 4 * n), F32)
+        for t in range(time - 1, -1, -1):
+            gates, cand, before, tc, h = trace[t]
+            dh = dh + d_h[t]
+            i, f, o = gates[..., :n], gates[..., n : 2 * n], gates[..., 2 * n :]
+            dc = dc + dh * o * (1 - tc * tc)
+            dz = dz_all[t]
+            np.multiply(dc * cand, i * (1 - i), out=dz[..., :n])
+            np.multiply(dc * before, f * (1 - f), out=dz[..., n : 2 * n])
+            np.multiply(dh * tc, o * (1 - o), out=dz[..., 2 * n : 3 * n])
+            np.multiply(dc * i, 1 - cand * cand, out=dz[..., 3 * n :])
+            d_rec += h.transpose(0, 2, 1) @ dz
+            dh, dc = dz @ inner, dc * f
+        for k, (d, rows_of) in enumerate(zip("fr", (ids, ids[:, ::-1]), strict=True)):
+            hot = (rows_of.T.reshape(-1)[None] == np.arange(len(p["E"]))[:, None]).astype(F32)
+            table = hot @ dz_all[:, k].reshape(-1, 4 * n)
+            g |= {f"H{d}": d_rec[k], f"X{d}": p["E"].T @ table, f"B{d}": table.sum(0)}
             g["E"] += table @ p[f"X{d}"].T
         return float((log_z - score).mean()), {k: v / batch for k, v in g.items()}
 
