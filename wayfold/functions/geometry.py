@@ -270,10 +270,6 @@ def exact_km(texts: pd.Series) -> pd.Series:
     return _kilometres(pa.array(texts, pa.string(), from_pandas=True), vincenty_m).to_pandas()
 
 
-def edges_of(parts: list[np.ndarray]) -> np.ndarray:
-    return np.concatenate([np.concatenate((p[:-1], p[1:]), axis=1) for p in parts])
-
-
 def near_area(lines: list[np.ndarray], edges: np.ndarray, distance: float) -> bool:
     """Whether any line has a point inside the polygon (even-odd over its edges) or within `distance` of an edge."""
     for line in lines:
@@ -303,13 +299,38 @@ def _segment_distance(p: np.ndarray, q: np.ndarray, e: np.ndarray) -> np.ndarray
     return np.where(cross, 0.0, ends)
 
 
+def touching_texts(lines: Lines, edges: np.ndarray, distance: float, cells: int = 1 << 20) -> np.ndarray:
+    """Of each text whether its lines touch the area, as `near_area` tells: all vertices and segments against all edges, some `cells` pairs at a time."""
+    out = np.zeros(len(lines.good), bool)
+    if not len(edges):
+        return out
+    step = max(1, cells // len(edges))
+    x1, y1, x2, y2 = edges.T
+    rise = np.where(y2 == y1, 1, y2 - y1)
+    owner = np.repeat(lines.owner, np.diff(lines.first))
+    for k in range(0, len(lines.xy), step):
+        x, y = lines.xy[k : k + step, :1], lines.xy[k : k + step, 1:]
+        crosses = ((y1 > y) != (y2 > y)) & (x < x1 + (y - y1) * (x2 - x1) / rise)
+        out[owner[k : k + step][crosses.sum(axis=1) % 2 == 1]] = True
+    a, b, owner = lines.segments()
+    left = np.flatnonzero(~out[owner])
+    for k in range(0, len(left), step):
+        mine = left[k : k + step]
+        (ax, ay), (bx, by) = a[mine].T[:, :, None], b[mine].T[:, :, None]
+        side = lambda ox, oy, px, py, qx, qy: (px - ox) * (qy - oy) - (py - oy) * (qx - ox)
+        cross = (side(ax, ay, bx, by, x1, y1) * side(ax, ay, bx, by, x2, y2) < 0) & (side(x1, y1, x2, y2, ax, ay) * side(x1, y1, x2, y2, bx, by) < 0)
+        gap = np.minimum(_point_segments(ax, ay, x1, y1, x2, y2), _point_segments(bx, by, x1, y1, x2, y2))
+        gap = np.minimum(gap, np.minimum(_point_segments(x1, y1, ax, ay, bx, by), _point_segments(x2, y2, ax, ay, bx, by)))
+        out[owner[mine][(cross | (gap <= distance)).any(axis=1)]] = True
+    return out
+
+
 def touches_udf(edges: np.ndarray, distance: float = V.BUFFER_DEG):
-    """An Arrow UDF: whether WKT lines touch the area with these edges, widened by `distance` degrees."""
+    """An Arrow UDF: whether WKT lines touch the area with these edges (x1, y1, x2, y2), widened by `distance` degrees. False without a usable line."""
 
-    @F.pandas_udf(T.BooleanType())
-    def touches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.BooleanType())
+    def touches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            parts = [line_parts(t) for t in texts]
-            yield pd.Series([bool(p) and near_area(p, edges, distance) for p in parts])
+            yield pa.array(touching_texts(parse_lines(texts.cast(pa.string())), edges, distance))
 
     return touches

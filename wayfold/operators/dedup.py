@@ -60,6 +60,12 @@ def tile_state(log: DataFrame, job_key: str) -> DataFrame:
     return last.join(other, "iso2")
 
 
+def report(log: DataFrame) -> DataFrame:
+    """status, runs, countries, last: a row for each status of a run log, and one for all."""
+    facts = [F.count("*").alias("runs"), F.countDistinct("iso2").alias("countries"), F.max("run_ts").alias("last")]
+    return log.groupBy("status").agg(*facts).unionByName(log.agg(*facts).withColumn("status", F.lit("all")))
+
+
 def to_build(work: DataFrame, manifest: DataFrame, force: bool = False) -> DataFrame:
     """Work whose output is not up to date: fingerprint, settings, file and size must all be as the manifest has them."""
     m = manifest.select("iso2", F.col("fingerprint").alias("m_fp"), F.col("settings").alias("m_set"), F.col("size").alias("m_size"))

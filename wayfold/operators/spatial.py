@@ -6,6 +6,7 @@ are as thin as the number of edges asks for, so that work grows with the edges n
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -201,6 +202,14 @@ def codes_of(points: DataFrame, boundaries: DataFrame) -> DataFrame:
     return inside(points, geojson_edges(boundaries)).select("pid", F.col("unit.code").alias("code")).distinct()
 
 
+def edges_array(edges: DataFrame, most: int = 100_000) -> np.ndarray:
+    """x1, y1, x2, y2 of one boundary's edges for `touches_udf`; a boundary of more than `most` edges is an error, and a case for `clip`."""
+    rows = usable_edges(edges).select("x1", "y1", "x2", "y2").take(most + 1)
+    if len(rows) > most:
+        raise ValueError(f"more than {most} edges")
+    return np.array([tuple(r) for r in rows], float).reshape(-1, 4)
+
+
 def normal_box(s: Column, w: Column, n: Column, e: Column) -> list[Column]:
     """Corners clamped to the world and ordered; degenerate sides are widened by a hundredth of a degree."""
     s2, n2 = F.greatest(F.lit(-90.0), F.least(s, n)), F.least(F.lit(90.0), F.greatest(s, n))

@@ -631,6 +631,19 @@ def clip(spark, d):
     return spatial.clip(view(spark, d, "roads"), _boundaries(spark, d), _CLIP_DEG, code="country").select("osm_id", "country")
 
 
+_SMALL = f"""WITH+ b AS (SELECT x1, y1, x2, y2 FROM edges WHERE unit = 12), lines AS (SELECT DISTINCT geometry, {_POINTS} AS p FROM roads), good AS (SELECT * FROM lines WHERE len(p) >= 2),
+ v AS (SELECT geometry, i, p[i].x AS x, p[i].y AS y FROM (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM good)), held AS (SELECT DISTINCT geometry FROM (SELECT geometry, i FROM v JOIN b ON {_CROSS} GROUP BY 1, 2 HAVING count(*) % 2 = 1)),
+ s AS (SELECT geometry, p[i].x AS ax, p[i].y AS ay, p[i+1].x AS bx, p[i+1].y AS by_ FROM (SELECT *, unnest(range(1, len(p))) AS i FROM good)), near AS (SELECT DISTINCT geometry FROM s JOIN b ON ({_TOUCH})), kept AS (SELECT * FROM held UNION SELECT * FROM near)
+ SELECT osm_id FROM roads JOIN kept USING (geometry)"""
+
+
+@query("udf1_sp1_touches", _SMALL, "roads edges")
+def touches(spark, d):
+    """The clip for one small boundary, whose edges go to every task."""
+    edges = spatial.edges_array(view(spark, d, "edges").where("unit = 12"))
+    return view(spark, d, "roads").where(G.touches_udf(edges, _CLIP_DEG)("geometry")).select("osm_id")
+
+
 _TILES = f"""WITH+ b AS (SELECT unit AS key, s, w, n, e FROM {_BOX}), i AS (SELECT *, unnest(range(CAST(floor(s/5.0) AS INT), CAST(ceil(n/5.0) AS INT))) AS i FROM b), g AS (SELECT *, unnest(range(CAST(floor(w/5.0) AS INT), CAST(ceil(e/5.0) AS INT))) AS j FROM i),
  t AS (SELECT key, 'g5_' || i || '_' || j AS tile, greatest(s, i*5.0) AS s, greatest(w, j*5.0) AS w, least(n, (i+1)*5.0) AS n, least(e, (j+1)*5.0) AS e FROM g)"""
 _D = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in "swne")

@@ -6,10 +6,12 @@ from urllib.parse import quote
 
 from pyspark.sql import functions as F
 
+from wayfold.operators import dedup
 from wayfold.plans.registry import query
-from wayfold.sources import readers, sinks, store
+from wayfold.sources import pbf, readers, sinks, store
 from wayfold.sources.fixtures import table, view
 from wayfold.sources.store import scratch
+from wayfold.streaming import ingest
 
 _PART_COLUMNS = "p_partkey, p_name, p_brand, p_type, p_size"
 _LINES = "p_name || chr(10) || 'a \"quoted\", one' || chr(13) || chr(10) || p_type"
@@ -152,3 +154,63 @@ def discovered(spark, d):
     readers.extract_index(spark, f"{path}/index.json")
     index = readers.extract_index(spark, f"{path}/index.json").agg((F.count("*") + 1).alias("bytes")).select(F.lit("index").alias("name"), "bytes")
     return found.unionByName(index)
+
+
+@query("inc5_src6_stream_files", "SELECT p_partkey AS osm_id, p_brand AS highway FROM part")
+def streamed(spark, d):
+    """GeoJSON line files taken by a file stream in several batches, and offered again to a second run, which finds nothing new."""
+    folder, target, checkpoint = (scratch(spark, f"stream-{k}") for k in ("in", "out", "checkpoint"))
+    line = F.format_string('{"type":"Feature","geometry":{"type":"LineString","coordinates":[[1.0,2.0],[3.0,4.0]]},"properties":{"@id":"way/%d","highway":"%s"}}', "p_partkey", "p_brand")
+    table(spark, d, "part").select(line.alias("value")).repartition(5).write.text(folder)
+    for _ in range(2):
+        ingest.stream_geojson(spark, folder, target, checkpoint, files_per_batch=2).awaitTermination()
+    return spark.read.parquet(target).select("osm_id", "highway")
+
+
+@query("inc5_stream_windows", "SELECT epoch_us(date_trunc('hour', ts)) // 1000000 AS start, event_type, count(*) AS n, CAST(sum(value) AS DECIMAL(20,2)) AS total FROM events GROUP BY 1, 2")
+def windows(spark, d):
+    """Counts of a stream of events by type and hour."""
+    folder, target, checkpoint = (scratch(spark, f"events-{k}") for k in ("in", "out", "checkpoint"))
+    events = table(spark, d, "events")
+    events.repartition(3).write.parquet(folder)
+    stream = ingest.stream_event_counts(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder))
+    keep = lambda batch, _: batch.write.mode("overwrite").parquet(target)  # noqa: E731  in complete mode a batch holds all windows
+    stream.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(target).select(F.unix_timestamp("start").alias("start"), "event_type", "n", F.col("total").cast("decimal(20,2)").alias("total"))
+
+
+@query("inc1_inc2_inc7_inc9_orc1_chk7_units", """WITH u AS (SELECT r_name, r_regionkey AS k, (SELECT count(*) FROM nation WHERE n_regionkey = r_regionkey) AS n FROM region)
+ SELECT r_name AS iso2, 0 AS run, CASE k WHEN 1 THEN 'FAILED' WHEN 2 THEN 'EMPTY' ELSE 'SUCCESS' END AS status, CASE k WHEN 1 THEN NULL WHEN 2 THEN 0 ELSE n END AS row_count FROM u
+ UNION ALL SELECT r_name, 1, 'SUCCESS', n FROM u WHERE k = 1""")
+def units(spark, d):
+    """Two runs over all regions: in the first one fails and one is empty; the second, in resume mode, builds the failed one only."""
+    target, log = scratch(spark, "units"), scratch(spark, "units-log")
+    keys = {r.r_name: r.r_regionkey for r in table(spark, d, "region").collect()}
+    tries: list[str] = []
+
+    def build(unit: str):
+        tries.append(unit)
+        if keys[unit] == 1 and tries.count(unit) == 1:
+            raise ValueError("the source is not there")
+        return table(spark, d, "nation").where(F.col("n_regionkey") == keys[unit]).where(F.lit(keys[unit] != 2))
+
+    runs = [ingest.run_units(spark, sorted(keys), build, target, log, retries=0, mode="resume").withColumn("run", F.lit(k)) for k in range(2)]
+    return runs[0].unionByName(runs[1]).select("iso2", "run", "status", "row_count")
+
+
+@query("orc6_report", "SELECT status, count(*) AS runs, count(DISTINCT iso2) AS countries, max(epoch_us(run_ts) // 1000000) AS last FROM run_log GROUP BY status UNION ALL SELECT 'all', count(*), count(DISTINCT iso2), max(epoch_us(run_ts) // 1000000) FROM run_log", "run_log")
+def report(spark, d):
+    return dedup.report(view(spark, d, "run_log")).withColumn("last", F.unix_timestamp(F.col("last").cast("timestamp")))
+
+
+@query("src5_pbf", "SELECT way AS osm_id, CASE WHEN way % 3 = 0 THEN 'primary' ELSE 'track' END AS highway, CAST(count(*) AS INT) AS n, CAST(sum(x * i) AS DECIMAL(14,4)) AS moment FROM vertices WHERE way % 5 <> 4 GROUP BY way", "vertices")
+def pbf_roads(spark, d):
+    """Ways written as PBF, some of a kind that is not kept, and read back with their nodes joined in."""
+    folder = scratch(spark, "pbf")
+    point = F.struct((F.col("way") * 8 + F.col("i")).alias("id"), F.col("x"), F.col("y"))
+    ways = view(spark, d, "vertices").groupBy(F.col("way").alias("osm_id")).agg(F.array_sort(F.collect_list(point)).alias("points"))
+    kind = F.when(F.col("osm_id") % 5 == 4, "footway").when(F.col("osm_id") % 3 == 0, "primary").otherwise("track")
+    pbf.write_pbf(ways.withColumn("tags", F.create_map(F.lit("name"), F.lit("Straße"), F.lit("highway"), kind)), folder)
+    got = pbf.roads(spark, folder, ("primary", "track"))
+    moment = F.aggregate(F.transform("points", lambda p, i: p["x"] * i), F.lit(0.0), lambda s, x: s + x)
+    return got.select("osm_id", F.element_at("tags", "highway").alias("highway"), F.size("points").alias("n"), moment.cast("decimal(14,4)").alias("moment"))

@@ -1,7 +1,8 @@
 """OSM PBF files as a Spark data source: nodes and ways, a run of blobs a partition.
 
 The driver reads the headers of the blobs only, to know where they lie; tasks read and decode their own. Numbers are decoded column by column in numpy. Ways can be
-cut to those that have one of some values of a key before anything leaves the decoder. The file must lie where driver and executors can open it (a mounted volume).
+cut to those that have one of some values of a key before anything leaves the decoder. The file, or folder of .pbf files, must lie where driver and executors can open it (a
+mounted volume). `write_pbf` writes such folders, for exchange and tests.
 
     spark.dataSource.register(PbfSource)
     spark.read.format("wayfold_pbf").option("what", "ways").option("key", "highway").option("values", "primary,track").load(path)
@@ -10,13 +11,17 @@ cut to those that have one of some values of a key before anything leaves the de
 from __future__ import annotations
 
 import lzma
+import os
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from datetime import datetime, timezone
+from itertools import count, islice
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -190,6 +195,10 @@ class Block:
                 yield int(own[1]), int(info[1]) if 1 in info else None, seconds, tags, deltas(own.get(8, b""))
 
 
+def local_path(path: str) -> str:
+    return "/" + path[5:].lstrip("/") if path.startswith("file:") else path
+
+
 class Run(InputPartition):
     """Some blobs of a file, one after the other."""
 
@@ -198,7 +207,9 @@ class Run(InputPartition):
 
 
 def runs(path: str, most: int) -> list[Run]:
-    """The data blobs of a file in runs of about `most` bytes."""
+    """The data blobs of a file, or of the .pbf files of a folder, in runs of about `most` bytes."""
+    if os.path.isdir(path):
+        return [r for p in sorted(Path(path).glob("*.pbf")) for r in runs(str(p), most)]
     out: list[Run] = []
     used = most
     for kind, offset, size in blobs(path):
@@ -214,7 +225,7 @@ def runs(path: str, most: int) -> list[Run]:
 
 class PbfReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.path = options["path"].removeprefix("file://")
+        self.path = local_path(options["path"])
         self.what, self.most = options.get("what", "ways"), int(options.get("partitionbytes", PARTITION_BYTES))
         key, values = options.get("key"), options.get("values")
         self.key = None if key is None else key.encode()
@@ -265,3 +276,73 @@ def roads(spark: SparkSession, path: str, kinds: tuple[str, ...], key: str = "hi
     lines = places.join(read_pbf(spark, path, "nodes"), "id").groupBy("way").agg(F.array_sort(F.collect_list(F.struct("i", "x", "y"))).alias("p")).where(F.size("p") >= 2)
     points = F.transform("p", lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y")))
     return ways.withColumn("way", way).join(lines, "way").select("osm_id", "osm_version", "osm_ts", "tags", points.alias("points"))
+
+
+def _put(n: int) -> bytes:
+    out = bytearray()
+    n &= (1 << 64) - 1
+    while n > 0x7F:
+        out.append(n & 0x7F | 0x80)
+        n >>= 7
+    out.append(n)
+    return bytes(out)
+
+
+def _field(number: int, value: int | bytes) -> bytes:
+    if isinstance(value, int):
+        return _put(number << 3) + _put(value)
+    return _put(number << 3 | 2) + _put(len(value)) + value
+
+
+def _zigzags(values: Iterable[int]) -> bytes:
+    """Signed differences of neighbours, packed."""
+    out, last = [], 0
+    for v in values:
+        out.append(_put((v - last) << 1 ^ (v - last) >> 63))
+        last = v
+    return b"".join(out)
+
+
+def _blob(kind: str, content: bytes) -> bytes:
+    body = _field(2, len(content)) + _field(3, zlib.compress(content))
+    header = _field(1, kind.encode()) + _field(3, len(body))
+    return struct.pack(">I", len(header)) + header + body
+
+
+def encoded(ways: list[tuple[int, list[tuple[str, str]], list[tuple[int, float, float]]]]) -> bytes:
+    """A file of ways (id, tags, vertices as (node id, x, y)): a header, the nodes, the ways."""
+    places = {n: (x, y) for _, _, points in ways for n, x, y in points}
+    ids = sorted(places)
+    scaled = lambda k: [round(places[i][k] * 1e7) for i in ids]
+    dense = _field(2, _field(1, _zigzags(ids)) + _field(8, _zigzags(scaled(1))) + _field(9, _zigzags(scaled(0))))
+    strings = ["", *sorted({t for _, tags, _ in ways for pair in tags for t in pair})]
+    at = {t: k for k, t in enumerate(strings)}
+    body = b""
+    for way, tags, points in ways:
+        keys, values = (b"".join(_put(at[pair[k]]) for pair in tags) for k in (0, 1))
+        body += _field(3, _field(1, way) + _field(2, keys) + _field(3, values) + _field(8, _zigzags(n for n, _, _ in points)))
+    table = _field(1, b"".join(_field(1, t.encode()) for t in strings))
+    header = _field(4, b"OsmSchema-V0.6") + _field(4, b"DenseNodes")
+    return _blob("OSMHeader", header) + _blob("OSMData", table + _field(2, dense)) + _blob("OSMData", table + _field(2, body))
+
+
+def write_pbf(ways: DataFrame, folder: str, most: int = 8000) -> None:
+    """Ways (osm_id, tags map, points array of structs (id, x, y)) as .pbf files of at most `most` ways each, which every task writes into the folder for itself, beside their
+    place first."""
+    at = local_path(folder)
+    os.makedirs(at, exist_ok=True)
+
+    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = TaskContext.get().partitionId()
+        rows = (r for batch in batches for r in batch.to_pylist())
+        for k in count():
+            some = list(islice(rows, most))
+            if not some:
+                return
+            name = f"{at}/ways-{mine:06d}-{k:06d}.pbf"  # the same for a task that runs again
+            part = f"{name}.{os.getpid()}.part"
+            Path(part).write_bytes(encoded([(r["osm_id"], list(r["tags"]), [(p["id"], p["x"], p["y"]) for p in r["points"]]) for r in some]))
+            os.replace(part, name)
+            yield pa.RecordBatch.from_arrays([pa.array([name])], names=["file"])
+
+    ways.select("osm_id", "tags", "points").mapInArrow(write, "file string").count()
