@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfold.sources.store import shared_dir
 
@@ -46,10 +49,10 @@ class Scratch:
     def __exit__(self, *_: object) -> None:
         self.drop(*self.paths)
 
-    def put(self, name: str, df: DataFrame) -> DataFrame:
-        """Written as Parquet and read back; the table that had the name before goes afterwards."""
+    def put(self, name: str, df: DataFrame, compression: str | None = None) -> DataFrame:
+        """Written as Parquet and read back; the table that had the name before goes afterwards. compression: the session's, if not given."""
         path, before = f"{self.root}/{name}-{uuid.uuid4().hex}", self.paths.get(name)
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         self.paths[name] = path
         if before:
             self._delete(before)
@@ -68,9 +71,23 @@ class Scratch:
         self.paths.pop(name)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Written as Parquet in the shared folder and read back, to stay until the driver ends: for what a result is read from."""
-    return Scratch(df.sparkSession, name).put(name, df)
+    return Scratch(df.sparkSession, name).put(name, df, compression)
+
+
+#: Arrow batches between the JVM and Python hold so many bytes, unless the session names a limit of its own. Spark's 64 MB (128 while a buffer grows), times tasks, times
+#: both sides, would be much of an executor's memory outside the heap.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_arrow(df: DataFrame, make: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """mapInArrow with batches of bounded size."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH, None) is None:
+        conf.set(_BATCH, str(BATCH_BYTES))
+    return df.mapInArrow(make, schema)
 
 
 #: A broadcast may hold so many bytes of keys.

@@ -1,6 +1,6 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-`build_index` cuts the corpus into segments of at most 8 MB of text. A segment is a row with its documents, their word bounds and, for every term,
+`build_index` cuts the corpus into segments of at most `SEGMENT` bytes of text. A segment is a row with its documents, their word bounds and, for every term,
 the sorted positions of the term: postings, kept as one array ordered by term and position. The index knows nothing of a benchmark, and serves any. `phrases`
 looks for test windows: in each segment it takes a window's terms from the rarest on and intersects their offset-adjusted posting
 lists, so that a window with a term that the segment lacks costs one look-up. `proximity` finds looser traces: most of the rarest terms of a
@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfold.llm import arrowtext as at
-from wayfold.llm.common import stored
+from wayfold.llm.common import in_arrow, stored
 
 U64 = np.uint64
-BLOCK = 2 << 20
+BLOCK, SEGMENT = 2 << 20, 1 << 18
 _SEGMENT = "segment string, docs int, ids binary, known binary, marks binary, first binary, terms binary, cuts binary, positions binary"
 _SEGMENT_ARROW = pa.schema([("segment", pa.string()), ("docs", pa.int32())] + [(c, pa.binary()) for c in ("ids", "known", "marks", "first", "terms", "cuts", "positions")])
 _FOUND = "segment string, doc int, doc_id long, text_hash long, n_words long, hits binary, items array<long>"
@@ -39,7 +39,7 @@ def build_index(docs: DataFrame) -> DataFrame:
     """Segments of the positional index, stored in the shared folder."""
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in at.chunks(batches):
+        for chunk in at.chunks(batches, limit=SEGMENT):
             found = at.words(chunk.data, chunk.offsets, at.ALNUM)
             names, which = np.unique(found.hashes, return_inverse=True)
             order = np.argsort(which.astype(np.uint16) if len(names) < 1 << 16 else which, kind="stable")
@@ -52,7 +52,7 @@ def build_index(docs: DataFrame) -> DataFrame:
 
     text = F.col("text").cast("string")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    return stored(texts.mapInArrow(make, _SEGMENT), "postings")
+    return stored(in_arrow(texts, make, _SEGMENT), "postings", compression="none")  # pages of large cells would take codec buffers of their size outside the heap
 
 
 def _member(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
@@ -89,7 +89,9 @@ class Windows:
         self.n, self.terms, self.lengths = n, np.ascontiguousarray(rows[:, :n]), rows[:, n].astype(np.int64)
         self.item_cuts, self.items = np.searchsorted(held[0], np.arange(len(rows) + 1)), held[1]
         used = np.arange(n)[None, :] < self.lengths[:, None]
-        self.vocabulary = np.unique(self.terms[used])
+        self.vocabulary, slots = np.unique(self.terms[used], return_inverse=True)
+        self.slots = np.zeros(self.terms.shape, np.int64)  # of each term its place in the vocabulary
+        self.slots[used] = slots
 
 
 def _each(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -127,7 +129,7 @@ class Segment:
 def _rarest(segment: Segment, windows: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Windows whose terms the segment has; their terms' ranks; each one's offsets from the rarest term on; its frequencies."""
     used = np.arange(windows.n)[None, :] < windows.lengths[:, None]
-    ranks = segment.ranks(windows.terms)
+    ranks = segment.ranks(windows.vocabulary)[windows.slots] if len(windows.vocabulary) else windows.slots - 1
     alive = np.flatnonzero(((ranks >= 0) | ~used).all(axis=1)) if len(windows.lengths) else np.zeros(0, np.int64)
     ranks, used = ranks[alive], used[alive]
     often = np.where(used, segment.cuts[ranks + 1] - segment.cuts[ranks], np.iinfo(np.int64).max) if len(alive) else np.zeros((0, windows.n), np.int64)
@@ -197,7 +199,7 @@ def phrases(index: DataFrame, windows: Windows) -> DataFrame:
                     schema=_FOUND_ARROW,
                 )
 
-    return index.mapInArrow(make, _FOUND)
+    return in_arrow(index, make, _FOUND)
 
 
 def frequencies(index: DataFrame, windows: Windows) -> np.ndarray:
@@ -210,7 +212,7 @@ def frequencies(index: DataFrame, windows: Windows) -> np.ndarray:
                 kept = _member(terms, windows.vocabulary)
                 yield pa.RecordBatch.from_arrays([pa.array(terms[kept].view(np.int64)), pa.array(counts[kept].astype(np.int64))], names=["term", "n"])
 
-    rows = index.select("terms", "cuts").mapInArrow(make, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    rows = in_arrow(index.select("terms", "cuts"), make, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(len(windows.vocabulary), np.int64)
     out[np.searchsorted(windows.vocabulary, np.array([r.term for r in rows], np.int64).view(U64))] = [r.n for r in rows]
     return out
@@ -219,8 +221,7 @@ def frequencies(index: DataFrame, windows: Windows) -> np.ndarray:
 def _candidates(windows: Windows, often: np.ndarray, most: int) -> np.ndarray:
     """Of each window the offsets of its `most` rarest terms that the corpus has, ascending, padded with -1."""
     used = np.arange(windows.n)[None, :] < windows.lengths[:, None]
-    slots = np.minimum(np.searchsorted(windows.vocabulary, windows.terms), max(len(often) - 1, 0))
-    n = np.where(used, often[slots], 0) if len(often) else np.zeros(windows.terms.shape, np.int64)
+    n = np.where(used, often[windows.slots], 0) if len(often) else np.zeros(windows.terms.shape, np.int64)
     order = np.argsort(np.where(n > 0, n, np.iinfo(np.int64).max), axis=1, kind="stable")[:, :most]
     chosen = np.sort(np.where(np.take_along_axis(n, order, 1) > 0, order, windows.n), axis=1)
     return np.where(chosen < windows.n, chosen, -1)
@@ -273,7 +274,7 @@ def proximity(index: DataFrame, windows: Windows, terms: int = 4, slack: int = 1
         for batch in batches:
             for row in _each(batch):
                 s = Segment(row)
-                ranks = np.where(chosen >= 0, s.ranks(np.take_along_axis(windows.terms, np.maximum(chosen, 0), 1)), -1) if len(chosen) else chosen
+                ranks = np.where(chosen >= 0, s.ranks(windows.vocabulary)[np.take_along_axis(windows.slots, np.maximum(chosen, 0), 1)], -1) if len(chosen) else chosen
                 held = [np.zeros((2, 0), np.int64)]
                 for w, begin, end in _chains(s, ranks, need):
                     close = end - begin < windows.lengths[w] + slack
@@ -286,7 +287,7 @@ def proximity(index: DataFrame, windows: Windows, terms: int = 4, slack: int = 1
                 doc = s.owner(begin)
                 yield pa.RecordBatch.from_arrays([pa.array(s.ids[doc], mask=~s.known[doc]), pa.array(item), pa.array((begin - s.first[doc]).astype(np.int32))], names=["doc_id", "item_id", "at"])
 
-    return index.mapInArrow(make, schema)
+    return in_arrow(index, make, schema)
 
 
 def near_matches(docs: DataFrame, benchmark: DataFrame, n: int = 13, block: int = BLOCK) -> DataFrame:

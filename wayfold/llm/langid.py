@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wayfold.llm import arrowtext as at
-from wayfold.llm.common import SAMPLE_BYTES, within
+from wayfold.llm.common import SAMPLE_BYTES, in_arrow, within
 
 GRAM, HASHES, SLOTS = 5, 3, 1 << 20
 _MULTS = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
@@ -134,7 +134,7 @@ def predict(docs: DataFrame, filter_: Filter, *extra: Column) -> DataFrame:
                 best, share = np.zeros(len(n), np.int64), np.zeros(len(n))
             yield pa.RecordBatch.from_arrays([chunk.rows.column(0), pa.array(names[best], pa.string()), pa.array(np.clip(share, 0.0, 1.0))], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(make, schema)
+    return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), make, schema)
 
 
 def held_out(divisor: int, remainder: int) -> Column:

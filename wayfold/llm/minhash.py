@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfold.llm import arrowtext as at
-from wayfold.llm.common import Scratch, only_keys
+from wayfold.llm.common import Scratch, in_arrow, only_keys
 from wayfold.llm.graph import components
 
 U64 = np.uint64
@@ -95,7 +95,7 @@ def signatures(docs: DataFrame, plan: Plan) -> DataFrame:
     weights = (np.arange(plan.rows, dtype=U64) * U64(2) + U64(3))[None, :]
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in at.chunks(batches, limit=4 << 20):
+        for chunk in at.chunks(batches, limit=2 << 20):
             found = at.words(chunk.data, chunk.offsets, at.FOLDED)
             n = chunk.rows.num_rows
             counts, a, b = np.zeros(n, np.int64), np.zeros(n, U64), np.zeros(n, U64)
@@ -112,7 +112,7 @@ def signatures(docs: DataFrame, plan: Plan) -> DataFrame:
             lists = [pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * x.shape[1]), pa.array(x.reshape(-1).view(np.int64))) for x in (bands, bits)]
             yield pa.RecordBatch.from_arrays([chunk.rows.column(0), chunk.rows.column(2), pa.array(counts), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), *lists], schema=arrow)
 
-    return _texts(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(make, schema)
+    return in_arrow(_texts(docs).withColumn("text_hash", F.xxhash64("text")), make, schema)
 
 
 def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -131,7 +131,7 @@ def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
             column = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(sets).view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(named[:, 0]), pa.array(named[:, 1]), column], names=["set_a", "set_b", "shingles"])
 
-    return _texts(docs).mapInArrow(make, schema)
+    return in_arrow(_texts(docs), make, schema)
 
 
 def estimate(x: Column, y: Column, signature: int) -> Column:
@@ -240,7 +240,7 @@ def _compared(members: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     dealt = members.withColumn("side", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.select("band", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "label", "cid")
     whole = dealt.join(sets, "cid").select(*key, "side", "label", "bits", "shingles")
-    return whole.repartition(*key).sortWithinPartitions(*key).mapInArrow(make, "a long, b long")
+    return in_arrow(whole.repartition(*key).sortWithinPartitions(*key), make, "a long, b long")
 
 
 def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -278,7 +278,7 @@ def _labels(docs: DataFrame, classes: DataFrame, plan: Plan, scratch: Scratch) -
     """(cid, label): groups of linked classes; a class without links may be left out."""
     spread = classes.select("cid", "n", F.posexplode("bands").alias("at", "band"))
     sizes = spread.groupBy("band").agg(F.count("*").alias("size"), F.sum("n").alias("all")).where("size > 1")
-    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("all") * 8 / BLOCK_BYTES)).cast("long")
+    blocks = F.least("size", F.ceil(F.greatest(F.col("size") / BLOCK, F.col("all") * 8 / BLOCK_BYTES)).cast("long"))
     sizes = scratch.put("sizes", sizes.select("band", blocks.alias("blocks")))
     members = scratch.put("members", spread.select("cid", "at", "band").join(sizes, "band"))
     met = scratch.put("met", members.select("cid").distinct().join(classes.select("cid", "set_a", "set_b", "rep", "bits"), "cid"))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfold.llm import arrowtext as at
-from wayfold.llm.common import block_of, power_of_two
+from wayfold.llm.common import block_of, in_arrow, power_of_two
 
 CAPACITY, GROUP = 2048, 16384
 SCHEMA = "doc_id long, piece int, n_words long, bin string, bin_used long, position int, source string, cluster long"
@@ -146,7 +146,7 @@ def pieces(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([chunk.rows.column(0), chunk.rows.column(2), pa.array(counts), pa.array(cluster)], names=["doc_id", "source", "n_words", "cluster"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source"))
-    return texts.mapInArrow(make, "doc_id long, source string, n_words long, cluster long")
+    return in_arrow(texts, make, "doc_id long, source string, n_words long, cluster long")
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:

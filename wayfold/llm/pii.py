@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfold.llm import arrowtext as at
-from wayfold.llm.common import sample_texts
+from wayfold.llm.common import in_arrow, sample_texts
 from wayfold.llm.tagger import FORBIDDEN, Tagger
 
 KINDS = ("email", "ip", "card", "phone")
@@ -324,7 +324,7 @@ def find_pii(docs: DataFrame, model: Tagger) -> DataFrame:
             yield pa.RecordBatch.from_arrays([chunk.rows.column(0), pa.array(rows, pa.list_(_SPAN))], names=["doc_id", "spans"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(make, "doc_id long, spans array<struct<kind string, start long, end long, added boolean>>")
+    return in_arrow(texts, make, "doc_id long, spans array<struct<kind string, start long, end long, added boolean>>")
 
 
 def digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:

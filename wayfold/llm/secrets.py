@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfold.llm import arrowtext as at
+from wayfold.llm.common import in_arrow
 
 KINDS = ("assign", "access", "hex", "ident", "secret")
 BASE = KINDS[:3]
@@ -133,7 +134,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     """doc_id, spans: array of (kind, start, end, added) by start, then kind as listed; added marks spans beyond the base."""
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in at.chunks(batches):
+        for chunk in at.chunks(batches, limit=2 << 20):
             rows = []
             for i in range(chunk.rows.num_rows):
                 base, added = find(chunk.text(i).decode(errors="replace"))
@@ -142,7 +143,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([chunk.rows.column(0), pa.array(rows, pa.list_(_SPAN))], names=["doc_id", "spans"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(make, "doc_id long, spans array<struct<kind string, start long, end long, added boolean>>")
+    return in_arrow(texts, make, "doc_id long, spans array<struct<kind string, start long, end long, added boolean>>")
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
@@ -150,7 +151,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     names, place = docs.columns, docs.columns.index("text")
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in at.chunks(batches):
+        for chunk in at.chunks(batches, limit=2 << 20):
             texts = []
             for i, known in enumerate(chunk.rows.column(place).is_valid().to_pylist()):
                 text, out, end = chunk.text(i).decode(errors="replace"), [], 0
@@ -163,7 +164,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
             columns = [pa.array(texts, pa.string()) if k == place else chunk.rows.column(k) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, schema=chunk.rows.schema)
 
-    return docs.mapInArrow(make, docs.schema)
+    return in_arrow(docs, make, docs.schema)
 
 
 def secrets(docs: DataFrame) -> DataFrame:

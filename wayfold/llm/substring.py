@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfold.llm import arrowtext as at
-from wayfold.llm.common import block_of, input_bytes, np_block_of, power_of_two
+from wayfold.llm.common import block_of, in_arrow, input_bytes, np_block_of, power_of_two
 
 U64 = np.uint64
 FIRST, HISTORY, FLAG = 0, 1, 2
@@ -133,7 +133,7 @@ def batch_runs(docs: DataFrame, n: int, layout: Layout, blocks: int = 1) -> Data
     buckets = 1 << layout.bucket_bits
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in at.chunks(batches):
+        for chunk in at.chunks(at.gathered(batches, 16 << 20)):
             found = Prints(chunk, n, layout)
             column = chunk.rows.column(0)
             owner = found.owners()
@@ -152,7 +152,7 @@ def batch_runs(docs: DataFrame, n: int, layout: Layout, blocks: int = 1) -> Data
                 if out is not None:
                     yield out
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(make, _PACKED)
+    return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), make, _PACKED)
 
 
 def merge(runs: DataFrame, layout: Layout, blocks: int = 1, flags: bool = True, keep: bool = False) -> DataFrame:

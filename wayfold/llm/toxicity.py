@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfold.llm import arrowtext as at
-from wayfold.llm.common import within
+from wayfold.llm.common import in_arrow, within
 from wayfold.llm.langid import held_out
 
 PART, WINDOW = 16, 8
@@ -54,6 +54,13 @@ class Automaton(NamedTuple):
     table: np.ndarray  # state x class -> state; state 0 is dead, 1 the start
     kind: np.ndarray  # of a word that ends in the state: 0, EXACT, MISSPELLED or BEGINNING
     weight: np.ndarray  # learned weight of the best term of the state
+    direct: np.ndarray | None  # class by code point, the last one for all beyond; None if a letter lies beyond
+
+    def classes(self, points: np.ndarray) -> np.ndarray:
+        if self.direct is not None:
+            return self.direct[np.minimum(points, len(self.direct) - 1)]
+        slot = np.minimum(np.searchsorted(self.letters, points), len(self.letters) - 1)
+        return np.where(self.letters[slot] == points, slot + 1, 0)
 
 
 def errors_allowed(term: str) -> int:
@@ -128,7 +135,11 @@ def automaton(words: dict[str, float], beginnings: dict[str, float]) -> Automato
         kind, weight = verdict(states, head)
         kinds.append(kind)
         weights.append(weight)
-    return Automaton(np.array([ord(c) for c in letters], np.uint32), np.array(table, np.int32), np.array(kinds, np.int8), np.array(weights))
+    points, direct = np.array([ord(c) for c in letters], np.uint32), None
+    if not len(points) or points[-1] < len(_LETTER):
+        direct = np.zeros(len(_LETTER) + 1, np.int32)
+        direct[points] = np.arange(1, len(points) + 1)
+    return Automaton(points, np.array(table, np.int32), np.array(kinds, np.int8), np.array(weights), direct)
 
 
 def run(automaton_: Automaton, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -136,14 +147,17 @@ def run(automaton_: Automaton, points: np.ndarray, starts: np.ndarray, ends: np.
     state = np.ones(len(starts), np.int32)
     if not len(automaton_.letters):
         return np.zeros(len(starts), np.int32)
-    live, step = np.arange(len(starts)), 0
+    moves, width = automaton_.table.ravel(), automaton_.table.shape[1]
+    live, now, at_ = np.arange(len(starts)), state.copy(), starts
     while len(live):
-        live = live[starts[live] + step < ends[live]]
-        c = points[starts[live] + step]
-        slot = np.minimum(np.searchsorted(automaton_.letters, c), len(automaton_.letters) - 1)
-        state[live] = automaton_.table[state[live], np.where(automaton_.letters[slot] == c, slot + 1, 0)]
-        live = live[state[live] > 0]
-        step += 1
+        over = at_ >= ends[live]
+        if over.any():
+            state[live[over]] = now[over]
+            live, now, at_ = live[~over], now[~over], at_[~over]
+        now = moves[now * width + automaton_.classes(points[at_])]
+        alive = now > 0
+        state[live[~alive]] = 0
+        live, now, at_ = live[alive], now[alive], at_[alive] + 1
     return state
 
 
@@ -328,7 +342,7 @@ def score_texts(docs: DataFrame, model: Model | None) -> DataFrame:
         for chunk in at.chunks(batches, limit=1 << 20):
             yield pa.RecordBatch.from_arrays([chunk.rows.column(0), pa.array(_scores(chunk, model))], names=["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(make, "doc_id long, score double")
+    return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), make, "doc_id long, score double")
 
 
 def keep_clean(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
@@ -338,7 +352,7 @@ def keep_clean(docs: DataFrame, model: Model | None, least: float = 0.5) -> Data
         for chunk in at.chunks(batches, limit=1 << 20):
             yield chunk.rows.filter(pa.array(_scores(chunk, model) < least))
 
-    return docs.mapInArrow(make, docs.schema)
+    return in_arrow(docs, make, docs.schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 6000, divisor: int = 5, remainder: int = 0) -> Model | None:
