@@ -24,13 +24,15 @@ def _col(c: Column | str) -> Column:
 
 
 def seven_decimals(v: Column) -> Column:
-    """Number text with seven decimals. By way of a decimal, which is far cheaper than a formatter; what a decimal would write with an exponent, or cannot hold, is left to one."""
-    return F.coalesce(F.when(F.abs(v) >= 1e-5, v.try_cast("decimal(18,7)").cast("string")), F.format_string("%.7f", v))
+    """Number text with seven decimals. By way of a decimal, which is far cheaper than a formatter; what a decimal would write with an exponent, or cannot hold, is left to one. NULL for no number."""
+    return F.coalesce(F.when(F.abs(v) >= 1e-5, v.try_cast("decimal(18,7)").cast("string")), F.when(v.isNotNull(), F.format_string("%.7f", v)))
 
 
 def wkt_line(points: Column | str) -> Column:
-    """LINESTRING text of an array of (x, y) structs, seven decimals."""
-    return F.concat(F.lit("LINESTRING ("), F.array_join(F.transform(_col(points), lambda p: F.concat(seven_decimals(p["x"]), F.lit(" "), seven_decimals(p["y"]))), ", "), F.lit(")"))
+    """LINESTRING text of an array of (x, y) structs, seven decimals. Vertices without both numbers are left out; NULL if none has them."""
+    c = _col(points)
+    text = F.concat(F.lit("LINESTRING ("), F.array_join(F.transform(c, lambda p: F.concat(seven_decimals(p["x"]), F.lit(" "), seven_decimals(p["y"]))), ", "), F.lit(")"))
+    return F.when(F.exists(c, lambda p: p["x"].isNotNull() & p["y"].isNotNull()), text)
 
 
 def wkt_trimmed(flat: Column | str) -> Column:
