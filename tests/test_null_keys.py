@@ -19,7 +19,7 @@ def nulls(sf, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["geo1_wkt"])
+@pytest.mark.parametrize("name", ["geo1_wkt", "geo1b_wkt_trimmed"])
 def test_same_rows(spark, nulls, name):
     same(spark, nulls, name, catalog.ORACLES[name])
 
@@ -32,3 +32,5 @@ def test_line_text(spark):
     df = spark.createDataFrame([(i, p) for i, (p, _, _) in enumerate(LINES)], "i int, p array<struct<x: double, y: double>>").orderBy("i")
     texts = lambda at: [t and f"LINESTRING ({t})" for t in (r[at] for r in LINES)]
     assert [r[0] for r in df.select(G.wkt_line(F.col("p"))).collect()] == texts(1)
+    flat = F.flatten(F.transform("p", lambda v: F.array(v["x"], v["y"])))
+    assert [r[0] for r in df.select(G.wkt_trimmed(flat)).collect()] == texts(2)

@@ -36,11 +36,16 @@ def wkt_line(points: Column | str) -> Column:
 
 
 def wkt_trimmed(flat: Column | str) -> Column:
-    """LINESTRING text of a flat array x0, y0, x1, y1, ...; seven decimals, zeros at the end trimmed."""
-    c = _col(flat)
+    """LINESTRING text of a flat array x0, y0, x1, y1, ...; seven decimals, zeros at the end trimmed. Vertices without both numbers are left out; NULL if none has them."""
     short = lambda v: F.rtrim(F.rtrim(seven_decimals(v), F.lit("0")), F.lit("."))
-    pairs = F.transform(F.sequence(F.lit(0), (F.size(c) / 2).cast("int") - 1), lambda i: F.concat(short(F.get(c, 2 * i)), F.lit(" "), short(F.get(c, 2 * i + 1))))
-    return F.concat(F.lit("LINESTRING ("), F.array_join(pairs, ", "), F.lit(")"))
+
+    def body(c: Column) -> Column:
+        at = F.sequence(F.lit(0), (F.size(c) / 2).cast("int") - 1)
+        pairs = F.transform(at, lambda i: F.concat(short(F.get(c, 2 * i)), F.lit(" "), short(F.get(c, 2 * i + 1))))
+        whole = F.exists(at, lambda i: F.get(c, 2 * i).isNotNull() & F.get(c, 2 * i + 1).isNotNull())
+        return F.when(whole, F.concat(F.lit("LINESTRING ("), F.array_join(pairs, ", "), F.lit(")")))
+
+    return bound(_col(flat), body)
 
 
 def bound(value: Column, body) -> Column:
