@@ -1,10 +1,13 @@
 """Queries over tables whose suppliers number 1,000 and more, so that two pairs of part and supplier give one way or pid: each vertex number is there twice."""
 
+from itertools import permutations, product
+
 import duckdb
 import pytest
 
 from tests.test_queries import plain
 from wayfold.plans import catalog, roundtrips  # noqa: F401  roundtrips registers its queries
+from wayfold.sources.fixtures import duckdb_text
 
 
 @pytest.fixture(scope="module")
@@ -48,3 +51,26 @@ def test_same_rows(spark, shared, name):
 def test_ties(spark, shared, name):
     """The SQL leaves open which of two vertices of one number comes first; the rows are those of its order by place."""
     same(spark, shared, name, catalog.ORACLES[name].replace("ORDER BY i", "ORDER BY i, x, y"))
+
+
+def ring_row(places):
+    """n and sum_x of a way's snapped places, as the query's words have it: repeats that follow each other count once, the ring is closed, fewer than four have no row."""
+    kept = [p for j, p in enumerate(places) if j == 0 or p != places[j - 1]]
+    closed = kept if kept[0] == kept[-1] else [*kept, kept[0]]
+    return (len(closed), sum(x for x, _ in closed)) if len(closed) >= 4 else (None, None)
+
+
+def test_ring_ties_are_orders_of_the_sql(spark, shared):
+    """Each row of sp9_ring_clean, and each of its SQL as it stands, is one that ORDER BY i allows; a way at one place has a single such row."""
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{shared}/lineitem.parquet'")
+    places = {}
+    for way, i, x, y in con.execute(f"SELECT way, i, round(x/6.5)*6.5, round(y/6.5)*6.5 FROM ({duckdb_text('vertices')}) ORDER BY way, i").fetchall():
+        places.setdefault(way, {}).setdefault(i, []).append((x, y))
+    allowed = {way: {ring_row(sum(map(list, order), [])) for order in product(*(permutations(p) for p in by_number.values()))} for way, by_number in places.items()}
+    assert {len(allowed[way]) > 1 for way in places} == {True, False}
+    assert all(len(allowed[way]) == 1 for way in places if len(places[way][0]) == 1)
+    found = con.execute(catalog.ORACLES["sp9_ring_clean"]).fetchall(), [(r.way, r.n, r.sum_x) for r in catalog.QUERIES["sp9_ring_clean"](spark, shared).select("way", "n", "sum_x").collect()]
+    for rows in found:
+        assert sorted(r[0] for r in rows) == sorted(places)
+        assert [r for r in rows if (r[1], r[2] if r[2] is None else float(r[2])) not in allowed[r[0]]] == []
