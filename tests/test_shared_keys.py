@@ -74,3 +74,14 @@ def test_ring_ties_are_orders_of_the_sql(spark, shared):
     for rows in found:
         assert sorted(r[0] for r in rows) == sorted(places)
         assert [r for r in rows if (r[1], r[2] if r[2] is None else float(r[2])) not in allowed[r[0]]] == []
+
+
+#: Pairs of part and supplier, two a way; each way has a segment whose metres lie in the middle between two millimetres but for the last bits.
+HALVES = [(105765, 50940), (105796, 19940), (193350, 47272), (193381, 16272), (266966, 47844), (266997, 16844), (801249, 58881), (801302, 5881)]
+
+
+def test_segments_round_as_the_sql(spark, shared, tmp_path):
+    """Metres close to the middle between two millimetres fall to the same side as in the SQL."""
+    duckdb.connect().execute(f"COPY (SELECT unnest({[p for p, _ in HALVES]}) AS l_partkey, unnest({[s for _, s in HALVES]}) AS l_suppkey) TO '{tmp_path}/lineitem.parquet'")
+    duckdb.connect().execute(f"COPY (SELECT * FROM '{shared}/nation.parquet') TO '{tmp_path}/nation.parquet'")
+    same(spark, str(tmp_path), "geo4_segment_m", catalog.ORACLES["geo4_segment_m"].replace("ORDER BY i", "ORDER BY i, x, y"))

@@ -67,13 +67,12 @@ def valid_points(points: Column | str) -> Column:
 
 
 def segment_m(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    """Metres between two points by the radii of curvature at the middle latitude; the longitude difference is wrapped."""
+    """Metres between two points by the radii of curvature at the middle latitude; the longitude difference is wrapped. Steps follow each other as in the SQL twin, so that both
+    round alike: in another order the last bits differ, and with them the third decimal of some segment in some hundred thousand."""
     mid = F.radians((y1 + y2) / 2)
-    w = 1 - _E2 * F.sin(mid) * F.sin(mid)
-    meridian = F.lit(V.EQUATOR_M * (1 - _E2)) / (w * F.sqrt(w))
-    normal = F.lit(V.EQUATOR_M) / F.sqrt(w)
-    east = F.radians(F.pmod(x2 - x1 + 180.0, F.lit(360.0)) - 180.0) * normal * F.cos(mid)
-    north = F.radians(y2 - y1) * meridian
+    w = 1 - _E2 * (F.sin(mid) * F.sin(mid))
+    east = F.radians(((x2 - x1 + 180.0) % 360.0 + 360.0) % 360.0 - 180.0) * V.EQUATOR_M / F.sqrt(w) * F.cos(mid)
+    north = F.radians(y2 - y1) * V.EQUATOR_M * (1 - _E2) / (w * F.sqrt(w))
     return F.sqrt(east * east + north * north)
 
 
